@@ -1,0 +1,57 @@
+"""A starter rule set of everyday product words.
+
+It is deliberately short. A retailer's own rule tables (hundreds of labels and
+keywords, often truncated by the source system) are data, not code: hand them in
+through ``Taxonomy.from_tables`` or, at any size, ``operators.classify``.
+"""
+
+# --- Fixed values: labels that name a category as they stand -------------------
+EXACT = {
+    "CHOCOLATE": "Confectionery",
+    "CANDY (NON-CHOCOLATE)": "Confectionery",
+    "BEVERAGES": "Beverages",
+    "COFFEE": "Beverages",
+    "WATER": "Beverages",
+    "COUGH & COLD": "Health",
+    "VITAMINS & SUPPLEMENTS": "Health",
+    "BANDAGES": "Health",
+    "ALLERGY": "Health",
+    "COSMETICS": "Beauty",
+    "BATH & BODY": "Beauty",
+    "PAPER GOODS": "Paper",
+    "HOUSEWARES": "Household",
+    "CEREAL": "Grocery",
+    "SOUPS": "Grocery",
+    "SNACKS": "Grocery",
+    "TAPE": "Office",
+    "PENS": "Office",
+    "PENCILS": "Office",
+    "CAT FOOD": "Pets",
+    "DOG FOOD": "Pets",
+    "BABY FOOD": "Baby",
+    "BOTTLES": "Baby",
+    "EASTER": "Seasonal",
+    "RESTAURANTS": "Financial",
+    "LIGHTERS": "Tobacco",
+}
+
+# --- Fixed values: keywords by category, in order of precedence ----------------
+KEYWORDS = {
+    "Beverages": ["WINE", "BEER", "LIQUOR", "DRINK", "JUICE", "WATER", "TEA", "COFFEE", "SODA", "BEVERAGE"],
+    "Confectionery": ["CHOC", "CANDY", "GUM", "MINT", "SWEET", "SUGAR"],
+    "Health": ["VIT", "VITAMIN", "PAIN", "COLD", "COUGH", "ALLERG", "ANTI", "MEDICINE", "PILL", "TABLET", "GLOVE"],
+    "Beauty": ["HAIR", "SKIN", "NAIL", "COSMETIC", "MAKEUP", "SOAP", "SHAMPOO", "LOTION", "SPONGE", "GEL", "PENCIL"],
+    "Pets": ["PET", "DOG", "CAT", "LITTER", "BIRD"],
+    "Toys": ["TOY", "GAME", "DOLL", "PUZZLE", "CARD", "CRAFT"],
+    "Paper": ["PAPER", "TISSUE", "NAPKIN", "CUP", "PLATE", "FOIL"],
+    "Household": ["CLEAN", "DETERGENT", "BLEACH", "TRASH", "SPONGE", "LAUNDRY", "DISH", "HOME", "MOP", "ANT"],
+    "Grocery": ["SNACK", "COOKIE", "NUT", "FOOD", "MEAT", "CEREAL", "BREAD", "CAKE", "SOUP"],
+    "Electronics": ["BATTERY", "ELECTRONIC", "CABLE", "PHONE", "CAMERA"],
+    "Office": ["OFFICE", "SCHOOL", "PEN", "PENCIL", "TAPE", "BOOK"],
+    "Baby": ["BABY", "INFANT", "TODDLER", "DIAPER"],
+    "Apparel": ["APPAREL", "SHIRT", "SHOE", "SOCK", "GLOVE", "CLOTHING"],
+    "Seasonal": ["EASTER", "VALENTINE", "CHRISTMAS", "HALLOWEEN"],
+    "Financial": ["GIFT CARD", "FINANCIAL", "PREPAID", "DEBIT"],
+    "Tobacco": ["TOBACCO", "CIGAR", "LIGHTER", "SMOKING"],
+    "Other": ["ALL OTHER", "MISC", "UNKNOWN", "ASSORTED"],
+}

@@ -1,0 +1,22 @@
+"""Shuffle width from the size of the input."""
+
+import math
+
+from pyspark.sql import SparkSession, functions as F
+
+BYTES_PER_TASK = 128 * 1024 * 1024
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a path; lists the files, reads none of them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+
+
+def widen_shuffles(spark: SparkSession, path: str) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so that one task gets about 128 MB of the
+    input. It is never lowered: adaptive execution merges small partitions itself."""
+    needed = math.ceil(stored_bytes(spark, path) / BYTES_PER_TASK)
+    width = max(needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    return width
