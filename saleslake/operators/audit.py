@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from saleslake.functions import dates, flags
 from saleslake.functions.fixed_values import OTHER
 from saleslake.operators.cleaning import clean
-from saleslake.operators.growth import SALES, share_of_all, top_n
+from saleslake.operators.growth import sales, share_of_all, top_n
 from saleslake.operators.silver import to_silver
 from saleslake.sources.layers import Gold
 
@@ -24,7 +24,10 @@ FLAT_NAMES = {
 }
 QUANTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 BRACKETS = 256
-ROWS = F.count(F.lit(1))
+
+
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def join_flat(gold: Gold) -> DataFrame:
@@ -42,10 +45,10 @@ def _flat_parts(gold: Gold) -> list[tuple[DataFrame, list[str]]]:
     joined to the dimension of that key."""
 
     def keyed(key: str, dimension: DataFrame) -> DataFrame:
-        return gold.fact.groupBy(key).agg(ROWS.alias("n")).join(dimension, key, "left").withColumnsRenamed(FLAT_NAMES)
+        return gold.fact.groupBy(key).agg(rows().alias("n")).join(dimension, key, "left").withColumnsRenamed(FLAT_NAMES)
 
     def counted(column: str) -> DataFrame:
-        return gold.fact.groupBy(column).agg(ROWS.alias("n")).withColumnsRenamed(FLAT_NAMES)
+        return gold.fact.groupBy(column).agg(rows().alias("n")).withColumnsRenamed(FLAT_NAMES)
 
     promo = counted("is_promo").withColumn("promo", flags.promo_label(F.col("is_promo")))
     parts = [
@@ -61,7 +64,7 @@ def _flat_parts(gold: Gold) -> list[tuple[DataFrame, list[str]]]:
 def shape(gold: Gold) -> DataFrame:
     """Rows and columns of the flat view; its left joins on unique keys keep the facts."""
     width = sum(len(columns) for _, columns in _flat_parts(gold))
-    return gold.fact.agg(ROWS.alias("row_count")).withColumn("column_count", F.lit(width).cast("bigint"))
+    return gold.fact.agg(rows().alias("row_count")).withColumn("column_count", F.lit(width).cast("bigint"))
 
 
 def null_counts(gold: Gold) -> DataFrame:
@@ -81,9 +84,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
-def duplicate_rows(rows: DataFrame) -> DataFrame:
+def duplicate_rows(df: DataFrame) -> DataFrame:
     """``(duplicate_rows)``: all members of groups of equal rows, not the surplus."""
-    groups = rows.groupBy(*rows.columns).agg(ROWS.alias("n")).filter(F.col("n") > 1)
+    groups = df.groupBy(*df.columns).agg(rows().alias("n")).filter(F.col("n") > 1)
     return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -183,7 +186,7 @@ def nearest_ranks(present: DataFrame, totals: DataFrame) -> DataFrame:
 
 def sales_by_product(gold: Gold, attributes: list[str]) -> DataFrame:
     """Rows and sales by product attributes, summed per product before the join."""
-    sums = gold.fact.groupBy("pln_id").agg(ROWS.alias("row_count"), SALES.alias("total_sales"))
+    sums = gold.fact.groupBy("pln_id").agg(rows().alias("row_count"), sales().alias("total_sales"))
     joined = sums.join(gold.products, "pln_id", "left").withColumnsRenamed(FLAT_NAMES)
     return joined.groupBy(*attributes).agg(
         F.sum("row_count").alias("row_count"), F.sum("total_sales").alias("total_sales")
@@ -246,7 +249,7 @@ def gap_summary(gold: Gold) -> DataFrame:
     """Dates in the facts, and combinations with missing weeks."""
     keys = gold.fact.select("date_key").distinct().join(gold.dates, "date_key", "left")
     days = keys.agg(count_values("full_date").alias("value")).select(F.lit("unique_dates").alias("item"), "value")
-    combinations = gaps(gold).agg(ROWS.alias("value"))
+    combinations = gaps(gold).agg(rows().alias("value"))
     return days.unionByName(combinations.select(F.lit("combinations_with_gaps").alias("item"), "value"))
 
 
@@ -268,7 +271,7 @@ def profile(gold: Gold) -> DataFrame:
         .unpivot("column_name", figures, "figure", "value")
         .select(F.lit("describe").alias("section"), F.concat_ws(".", "column_name", "figure").alias("item"), "value")
     )
-    low = nonpositive(gold.fact).agg(ROWS.alias("nonpositive_rows"))
+    low = nonpositive(gold.fact).agg(rows().alias("nonpositive_rows"))
     return _union(
         [
             long(shape(gold), "shape"),

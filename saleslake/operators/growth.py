@@ -10,12 +10,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from saleslake.functions import dates, ratios
 from saleslake.sources.layers import Gold
 
-SALES = F.sum("actual_sales")
-PROMO_SALES_SUM = F.sum(F.when(F.col("is_promo"), F.col("actual_sales")).otherwise(F.lit(0.0)))
 WEEK_BACK = 1
 YEAR_BACK = 52
 
 
+def sales() -> Column:
+    """Sum of sales; FLOAT amounts are added up as DOUBLE."""
+    return F.sum("actual_sales")
+
+
+def promo_sales() -> Column:
+    return F.sum(F.when(F.col("is_promo"), F.col("actual_sales")).otherwise(F.lit(0.0)))
+
+
 def in_range(fact: DataFrame, start=None, end=None) -> DataFrame:
     """Facts from start to end, both included. The date key orders like the date, so
     the test sits on the fact itself and reaches the Parquet scan."""
@@ -47,7 +54,7 @@ def with_date(rows: DataFrame, gold: Gold) -> DataFrame:
 
 def weekly_sales(gold: Gold, until=None) -> DataFrame:
     """``(date, current_sales)``"""
-    by_key = in_range(gold.fact, end=until).groupBy("date_key").agg(SALES.alias("current_sales"))
+    by_key = in_range(gold.fact, end=until).groupBy("date_key").agg(sales().alias("current_sales"))
     return with_date(by_key, gold).groupBy("date").agg(F.sum("current_sales").alias("current_sales"))
 
 
@@ -56,7 +63,7 @@ def weekly_group_sales(gold: Gold, attribute: str, excluded=None, until=None) ->
     by_key = (
         in_range(gold.fact, end=until)
         .groupBy("date_key", "pln_id")
-        .agg(SALES.alias("current_sales"), PROMO_SALES_SUM.alias("promo_sales"))
+        .agg(sales().alias("current_sales"), promo_sales().alias("promo_sales"))
     )
     groups = not_in(gold.products.select("pln_id", F.col(attribute).alias("grp")), "grp", excluded)
     return (

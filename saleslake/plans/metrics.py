@@ -22,11 +22,20 @@ def filters(gold: Gold) -> DataFrame:
     return growth.with_date(keys, gold).agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
+def chosen_range(gold: Gold, *picked) -> tuple:
+    """Bounds as columns: nothing picked is the full range, one date is that date only."""
+    if len(picked) > 2:
+        raise ValueError("a range has at most two dates")
+    if picked:
+        return dates.as_date(picked[0]), dates.as_date(picked[-1])
+    bounds = filters(gold)
+    return bounds.select("min_date").scalar(), bounds.select("max_date").scalar()
+
+
 def last_weeks(gold: Gold, weeks: int, end=None) -> tuple:
     """Bounds of the last ``weeks`` weeks as columns, for any of the questions below."""
-    bounds = filters(gold)
-    first = bounds.select("min_date").scalar()
-    last = dates.as_date(end) if end is not None else bounds.select("max_date").scalar()
+    first, last = chosen_range(gold)
+    last = dates.as_date(end) if end is not None else last
     return dates.lookback_start(last, weeks, first), last
 
 
@@ -53,7 +62,7 @@ def top_metrics(gold: Gold, start, end, group: str, n: int = 10, exclude=None) -
 def segment_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     """``(seg, actual)``"""
     dated = growth.in_range(gold.fact, start, end).groupBy("date_key", "segment_id")
-    sums = dated.agg(growth.SALES.alias("actual")).join(gold.dates.select("date_key"), "date_key")
+    sums = dated.agg(growth.sales().alias("actual")).join(gold.dates.select("date_key"), "date_key")
     by_segment = sums.groupBy("segment_id").agg(F.sum("actual").alias("actual"))
     return by_segment.join(gold.segments, "segment_id").select(F.col("segment_id").alias("seg"), "actual")
 
@@ -63,7 +72,7 @@ def promo_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     sums = (
         growth.in_range(gold.fact, start, end)
         .groupBy("date_key", "is_promo")
-        .agg(growth.SALES.alias("actual"))
+        .agg(growth.sales().alias("actual"))
     )
     return (
         growth.with_date(sums, gold)
@@ -79,7 +88,7 @@ def _by_category(gold: Gold, start, end, keys: list[str], excluded=None) -> Data
     sums = (
         growth.in_range(gold.fact, start, end)
         .groupBy("date_key", "pln_id", *keys)
-        .agg(growth.SALES.alias("actual"))
+        .agg(growth.sales().alias("actual"))
     )
     categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"))
     categories = growth.not_in(categories, "product_category", excluded)
