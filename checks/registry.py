@@ -45,7 +45,7 @@ class Context:
 
     @cached_property
     def golden(self) -> DataFrame:
-        return written(golden_records(nullify_aliases(self.valid)), "golden")
+        return written(golden_records(self.valid), "golden")
 
     @cached_property
     def lake(self) -> Lake:

@@ -162,7 +162,7 @@ def dst_values(ctx):
 
 @check("agg_golden", "SELECT * FROM golden")
 def agg_golden(ctx):
-    return silver.golden_records(silver.nullify_aliases(ctx.valid))
+    return silver.golden_records(ctx.valid)
 
 
 @check("agg_reason", "SELECT ERROR_REASON AS error_reason, count(*) AS row_count FROM tagged GROUP BY ERROR_REASON")
@@ -277,14 +277,14 @@ def agg_dup_rows_flat(ctx):
 NUMERIC = ["date_key", "pln", "actual", "year", "month", "week_of_year", "same_week_last_year_key"]
 
 
-def describe_sql(digits: int = 4) -> str:
+def describe_sql(shown: str = "round({}, 4)") -> str:
     def quartile(column: str, q: float) -> str:
         rank = f"round((count({column}) - 1) * {q}::DOUBLE)"
         return f"list_sort(list({column}::DOUBLE) FILTER (WHERE {column} IS NOT NULL))[CAST({rank} AS BIGINT) + 1]"
 
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count({c}) AS row_count, count(*) - count({c}) AS null_count,
-        round(avg({c}::DOUBLE), {digits}) AS mean, round(stddev_samp({c}::DOUBLE), {digits}) AS std,
+        {shown.format(f"avg({c}::DOUBLE)")} AS mean, {shown.format(f"stddev_samp({c}::DOUBLE)")} AS std,
         min({c})::DOUBLE AS min, {quartile(c, 0.25)} AS p25, {quartile(c, 0.5)} AS p50, {quartile(c, 0.75)} AS p75,
         max({c})::DOUBLE AS max FROM flat"""
         for c in NUMERIC

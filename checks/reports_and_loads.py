@@ -245,7 +245,7 @@ def long(section: str, inner: str, columns: list[str], prefix: str = "") -> str:
 
 FIGURES = ["row_count", "null_count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 DESCRIBED = " UNION ALL ".join(
-    f"SELECT 'describe', column_name || '.{f}', {f}::DOUBLE FROM ({describe_sql(6)}) x" for f in FIGURES
+    f"SELECT 'describe', column_name || '.{f}', {f}::DOUBLE FROM ({describe_sql('{}')}) x" for f in FIGURES
 )
 PROFILE = " UNION ALL ".join(
     [

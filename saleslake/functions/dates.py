@@ -13,8 +13,9 @@ GRAINS = {"weekly": None, "monthly": "MM", "yearly": "YEAR"}
 def legacy_date(week: Column) -> Column:
     """``1YYMMDD`` code, perhaps in quotes, to DATE; null when it is not a date."""
     code = F.try_add(unquote(week).try_cast("bigint"), F.lit(WEEK_OFFSET))
-    eight_digits = code.between(10000000, 99999999)
-    return F.when(eight_digits, F.try_to_date(code.cast("string"), "yyyyMMdd"))
+    digits = F.when(code.between(10000000, 99999999), code.cast("string"))
+    iso = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+    return iso.try_cast("date")
 
 
 def date_key(d: Column) -> Column:

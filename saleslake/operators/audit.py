@@ -13,6 +13,7 @@ from saleslake.operators.cleaning import clean
 from saleslake.operators.growth import sales, share_of_all, top_n
 from saleslake.operators.silver import to_silver
 from saleslake.sources.layers import Gold
+from saleslake.sources.scratch import written
 
 FLAT_NAMES = {
     "full_date": "date",
@@ -128,7 +129,7 @@ def value_counts(gold: Gold) -> DataFrame:
 def describe(gold: Gold) -> DataFrame:
     """Per numeric column: count, nulls, mean, standard deviation, least, quartiles and
     greatest, all exact. The quartiles are values that occur, at the nearest rank."""
-    return describe_values(value_counts(gold))
+    return describe_values(written(value_counts(gold), "value-counts"))
 
 
 def describe_values(counted: DataFrame) -> DataFrame:

@@ -30,16 +30,16 @@ def golden_records(rows: DataFrame) -> DataFrame:
     come from different rows. Undated rows count as oldest, and on equal dates the
     greatest text wins.
 
-    The first grouping keeps the last date of each attribute combination: a hash
-    aggregate that shrinks even a product with most of the rows to a handful of rows
-    per task before the shuffle. Only those few reach ``max_by``.
+    The first grouping keeps the last date of each combination of attributes as they
+    stand: a hash aggregate that shrinks even a product with most of the rows to a
+    handful of rows per task before the shuffle. Only those few are tested for texts
+    that mean "no value" and reach ``max_by``.
     """
     combinations = rows.groupBy("PLN", *ATTRIBUTES).agg(F.max("DATE").alias("last_seen"))
-    # The explicit null in place of a filter keeps the four in one aggregate.
-    newest = {
-        c: F.when(F.col(c).isNotNull(), F.struct("last_seen", F.col(c).alias("value"))) for c in ATTRIBUTES
-    }
-    return combinations.groupBy("PLN").agg(*[F.max_by(c, order).alias(c) for c, order in newest.items()])
+    known = nullify_aliases(combinations)
+    # max_by skips a null order, so a null attribute never wins.
+    newest = {c: F.when(F.col(c).isNotNull(), F.struct("last_seen", c)) for c in ATTRIBUTES}
+    return known.groupBy("PLN").agg(*[F.max_by(c, order).alias(c) for c, order in newest.items()])
 
 
 def heal(rows: DataFrame, golden: DataFrame) -> DataFrame:
@@ -70,6 +70,6 @@ def to_silver(tagged: DataFrame, golden: DataFrame | None = None) -> DataFrame:
     scratch folder first."""
     valid = valid_rows(tagged)
     if golden is None:
-        golden = written(golden_records(nullify_aliases(valid)), "golden")
+        golden = written(golden_records(valid), "golden")
     rows = nullify_aliases(drop_copies(valid))
     return narrow(fill_gaps(readable(heal(rows, golden))))

@@ -20,8 +20,11 @@ def load_silver(spark: SparkSession, feed_path: str, base: str) -> DataFrame:
     """
     widen_shuffles(spark, feed_path)
     tagged = written(cleaning.clean(read_feed(spark, feed_path)), "tagged", partition_by="ERROR_REASON")
-    layers.write_quarantine(cleaning.quarantine_rows(tagged), base)
-    layers.write_silver(silver.to_silver(tagged), base)
+    layers.together(
+        spark,
+        lambda: layers.write_quarantine(cleaning.quarantine_rows(tagged), base),
+        lambda: layers.write_silver(silver.to_silver(tagged), base),
+    )
     return tagged
 
 

@@ -2,19 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.sources.layers import GOLD_TABLES, Gold, Layers
-
-COLUMNS = {
-    "fact_sales": "date_key INT, pln_id BIGINT, segment_id STRING, is_promo BOOLEAN, actual_sales FLOAT",
-    "dim_date": (
-        "full_date DATE, date_key INT, year INT, month INT, week_of_year INT, same_week_last_year_key INT"
-    ),
-    "dim_product": (
-        "pln_id BIGINT, pln_label STRING, legacy_category_label STRING, opstudy_label STRING, "
-        "business_unit STRING, broad_category STRING"
-    ),
-    "dim_segment": "segment_id STRING",
-}
+from saleslake.sources.layers import GOLD_COLUMNS, GOLD_TABLES, Gold, Layers
 
 # Report names of result columns, by their lower-case form.
 REPORT_NAMES = {
@@ -46,7 +34,7 @@ def create_tables(spark: SparkSession, base: str, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}/catalog'")
     for table in GOLD_TABLES:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.{table} ({COLUMNS[table]}) "
+            f"CREATE TABLE IF NOT EXISTS `{database}`.{table} ({GOLD_COLUMNS[table]}) "
             f"USING PARQUET LOCATION '{layers.gold(table)}'"
         )
 

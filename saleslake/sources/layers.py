@@ -1,10 +1,24 @@
 """The Parquet layers under one base path: quarantine, silver and the gold tables."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-GOLD_TABLES = ("fact_sales", "dim_date", "dim_product", "dim_segment")
+GOLD_COLUMNS = {
+    "fact_sales": "date_key INT, pln_id BIGINT, segment_id STRING, is_promo BOOLEAN, actual_sales FLOAT",
+    "dim_date": (
+        "full_date DATE, date_key INT, year INT, month INT, week_of_year INT, same_week_last_year_key INT"
+    ),
+    "dim_product": (
+        "pln_id BIGINT, pln_label STRING, legacy_category_label STRING, opstudy_label STRING, "
+        "business_unit STRING, broad_category STRING"
+    ),
+    "dim_segment": "segment_id STRING",
+}
+GOLD_TABLES = tuple(GOLD_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -36,12 +50,27 @@ class Gold:
 
     @classmethod
     def read(cls, spark: SparkSession, base: str) -> "Gold":
-        return cls(*[spark.read.parquet(Layers(base).gold(t)) for t in GOLD_TABLES])
+        """The stored tables. Only the date table differs between variants, so only
+        its columns are looked up in the files."""
+
+        def table(name: str) -> DataFrame:
+            reader = spark.read if name == "dim_date" else spark.read.schema(GOLD_COLUMNS[name])
+            return reader.parquet(Layers(base).gold(name))
+
+        return cls(*map(table, GOLD_TABLES))
 
     def tables(self) -> dict[str, DataFrame]:
         return dict(zip(GOLD_TABLES, (self.fact, self.dates, self.products, self.segments)))
 
 
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Submit independent writes at the same time, so that small ones fill the gaps of
+    large ones; fails when one of them fails."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
+
+
 def write_quarantine(rows: DataFrame, base: str) -> None:
     """A few bad rows out of many files: rebalancing leaves few, right-sized files."""
     rows.hint("rebalance").write.mode("overwrite").parquet(Layers(base).quarantine)
@@ -59,6 +88,9 @@ def write_gold(gold: Gold, base: str) -> None:
     clustered = gold.fact.repartitionByRange(
         "date_key", "pln_id", "segment_id", "actual_sales"
     ).sortWithinPartitions("date_key", "pln_id")
-    clustered.write.mode("overwrite").parquet(layers.gold("fact_sales"))
-    for table in GOLD_TABLES[1:]:
-        gold.tables()[table].write.mode("overwrite").parquet(layers.gold(table))
+    frames = {**gold.tables(), "fact_sales": clustered}
+
+    def write(table: str) -> Callable[[], None]:
+        return lambda: frames[table].write.mode("overwrite").parquet(layers.gold(table))
+
+    together(gold.fact.sparkSession, *map(write, GOLD_TABLES))
