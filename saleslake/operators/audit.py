@@ -24,7 +24,6 @@ FLAT_NAMES = {
     "broad_category": "product_category",
 }
 QUANTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
-BRACKETS = 256
 
 
 def rows() -> Column:
@@ -68,14 +67,36 @@ def shape(gold: Gold) -> DataFrame:
     return gold.fact.agg(rows().alias("row_count")).withColumn("column_count", F.lit(width).cast("bigint"))
 
 
+def column_counts(gold: Gold) -> DataFrame:
+    """``(column_name, known, value, n)``: facts per flat column and value. Only numeric
+    columns carry their values, the others just whether there is one."""
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+    def long(part: DataFrame, columns: list[str]) -> DataFrame:
+        kinds = dict(part.dtypes)
+
+        def cell(c: str) -> Column:
+            value = F.col(c).cast("double") if kinds[c] in numeric else F.lit(None).cast("double")
+            return F.struct(F.col(c).isNotNull().alias("known"), value.alias("value")).alias(c)
+
+        cells = part.select("n", *map(cell, columns)).unpivot("n", columns, "column_name", "cell")
+        return cells.select("column_name", "cell.known", "cell.value", "n")
+
+    parts = _union([long(*part) for part in _flat_parts(gold)])
+    return parts.groupBy("column_name", "known", "value").agg(F.sum("n").alias("n"))
+
+
 def null_counts(gold: Gold) -> DataFrame:
     """``(column_name, null_count)`` over the flat view."""
+    return _nulls(column_counts(gold))
+
+
+def _nulls(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("column_name").agg(_null_rows().alias("null_count"))
 
-    def nulls(part: DataFrame, columns: list[str]) -> DataFrame:
-        missing = [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias(c) for c in columns]
-        return part.agg(*missing).unpivot([], columns, "column_name", "null_count")
 
-    return _union([nulls(*part) for part in _flat_parts(gold)])
+def _null_rows() -> Column:
+    return F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -114,67 +135,43 @@ def cardinality(gold: Gold) -> DataFrame:
     )
 
 
-def value_counts(gold: Gold) -> DataFrame:
-    """``(column_name, value, n)`` of the numeric flat columns."""
-    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
-    frames = []
-    for part, columns in _flat_parts(gold):
-        names = [c for c, kind in part.dtypes if c in columns and kind in numeric]
-        if names:
-            as_double = part.select("n", *[F.col(c).cast("double").alias(c) for c in names])
-            frames.append(as_double.unpivot("n", names, "column_name", "value"))
-    return _union(frames).groupBy("column_name", "value").agg(F.sum("n").alias("n"))
+def placed(counted: DataFrame) -> DataFrame:
+    """The counts, written in ranges of value, each row with the number of its range.
+    A range holds whole values of neighbouring size, so ranks can be summed over ranges
+    and ordered inside them; no column is ever sorted in one task."""
+    ranges = counted.repartitionByRange("column_name", "value")
+    return written(ranges.withColumn("bracket", F.spark_partition_id()), "column-counts")
 
 
 def describe(gold: Gold) -> DataFrame:
     """Per numeric column: count, nulls, mean, standard deviation, least, quartiles and
     greatest, all exact. The quartiles are values that occur, at the nearest rank."""
-    return describe_values(written(value_counts(gold), "value-counts"))
+    return describe_counts(placed(column_counts(gold)))
 
 
-def describe_values(counted: DataFrame) -> DataFrame:
+def describe_counts(counted: DataFrame) -> DataFrame:
+    """Statistics of ``(column_name, known, value, n, bracket)``."""
     n, value = F.col("n"), F.col("value")
-    known = F.when(value.isNotNull(), n)
-    basic = counted.groupBy("column_name").agg(
-        F.coalesce(F.sum(known), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
-        (F.sum(value * n) / F.sum(known)).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    summary = (
+        counted.groupBy("column_name")
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("known"), n)), F.lit(0)).alias("row_count"),
+            _null_rows().alias("null_count"),
+            (F.sum(value * n) / F.sum(F.when(value.isNotNull(), n))).alias("mean"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        )
+        .filter(F.col("min").isNotNull())
     )
     present = counted.filter(value.isNotNull())
-    spread = (
-        present.join(basic.select("column_name", "mean", "row_count"), "column_name")
-        .groupBy("column_name", "row_count")
-        .agg(F.sum(n * F.pow(value - F.col("mean"), F.lit(2))).alias("squares"))
-        .select("column_name", F.sqrt(F.col("squares") / F.nullif(F.col("row_count") - 1, F.lit(0))).alias("std"))
-    )
-    quartiles = nearest_ranks(present, basic.select("column_name", "row_count"))
-    return (
-        basic.join(spread, "column_name", "left")
-        .join(quartiles, "column_name", "left")
-        .select("column_name", "row_count", "null_count", "mean", "std", "min", *QUANTILES, "max")
-    )
-
-
-def nearest_ranks(present: DataFrame, totals: DataFrame) -> DataFrame:
-    """Exact quartiles of ``(column_name, value, n)`` without sorting a column in one
-    task: approximate cuts split its distinct values into brackets, the bracket sums
-    give each bracket its starting rank, and only inside a bracket are values ordered."""
-    steps = [i / BRACKETS for i in range(1, BRACKETS)]
-    cuts = present.groupBy("column_name").agg(F.percentile_approx("value", steps, 10000).alias("cuts"))
-    value = F.col("value")
-    bracketed = present.join(cuts, "column_name").select(
-        "column_name", "value", "n", F.size(F.filter("cuts", lambda cut: cut < value)).alias("bracket")
-    )
-    sums = bracketed.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"))
-    before = Window.partitionBy("column_name").orderBy("bracket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("column_name", "bracket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
-    upto = Window.partitionBy("column_name", "bracket").orderBy("value")
+    sums = present.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"))
+    earlier = Window.partitionBy("column_name").orderBy("bracket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("column_name", "bracket", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    within = F.sum("n").over(Window.partitionBy("column_name", "bracket").orderBy("value"))
     ranked = (
-        bracketed.withColumn("within", F.sum("n").over(upto))
+        present.withColumn("within", within)
         .join(starts, ["column_name", "bracket"])
-        .join(totals, "column_name")
+        .join(summary.select("column_name", "row_count", "mean"), "column_name")
         .withColumn("last_rank", F.col("before") + F.col("within"))
     )
 
@@ -182,7 +179,15 @@ def nearest_ranks(present: DataFrame, totals: DataFrame) -> DataFrame:
         rank = F.round((F.col("row_count") - 1) * F.lit(q)) + 1
         return F.min(F.when(F.col("last_rank") >= rank, value))
 
-    return ranked.groupBy("column_name").agg(*[at(q).alias(name) for name, q in QUANTILES.items()])
+    apart = value - F.col("mean")
+    details = ranked.groupBy("column_name").agg(
+        F.sum(n * apart * apart).alias("squares"),
+        *[at(q).alias(name) for name, q in QUANTILES.items()],
+    )
+    std = F.sqrt(F.col("squares") / F.nullif(F.col("row_count") - 1, F.lit(0))).alias("std")
+    return summary.join(details, "column_name").select(
+        "column_name", "row_count", "null_count", "mean", std, "min", *QUANTILES, "max"
+    )
 
 
 def sales_by_product(gold: Gold, attributes: list[str]) -> DataFrame:
@@ -223,18 +228,20 @@ def top_other_products(gold: Gold, n: int = 20) -> DataFrame:
 def date_presence(gold: Gold) -> DataFrame:
     """Per product, segment and promotion flag: weeks present (a missing date counts as
     one), first and last date, weeks expected in between and weeks missing. Facts are
-    cut to distinct dates first, so the grouping never sees repeated weeks."""
-    keys = ["pln_id", "segment_id", "is_promo"]
-    seen = gold.fact.select(*keys, "date_key").distinct()
+    cut to distinct dates first, so a plain count does for the weeks present."""
+    label = flags.promo_label(F.col("is_promo")).alias("promo")
+    seen = gold.fact.select("pln_id", "segment_id", label, "date_key").distinct()
     dated = seen.join(gold.dates.select("date_key", F.col("full_date").alias("date")), "date_key", "left")
-    named = dated.withColumnsRenamed(FLAT_NAMES).withColumn("promo", flags.promo_label(F.col("is_promo")))
-    spans = named.groupBy("pln", "seg", "promo").agg(
-        count_values("date").alias("weeks_present"),
+    undated = F.max(F.col("date").isNull().cast("int"))
+    spans = dated.groupBy("pln_id", "segment_id", "promo").agg(
+        (F.count("date") + undated).cast("bigint").alias("weeks_present"),
         F.min("date").alias("first_seen"),
         F.max("date").alias("last_seen"),
     )
-    spans = spans.withColumn("expected_weeks", dates.weeks_between(F.col("first_seen"), F.col("last_seen")))
-    return spans.withColumn("missing_weeks", F.col("expected_weeks") - F.col("weeks_present"))
+    expected = dates.weeks_between(F.col("first_seen"), F.col("last_seen"))
+    return spans.withColumnsRenamed(FLAT_NAMES).withColumns(
+        {"expected_weeks": expected, "missing_weeks": expected - F.col("weeks_present")}
+    )
 
 
 def gaps(gold: Gold) -> DataFrame:
@@ -258,14 +265,17 @@ def profile(gold: Gold) -> DataFrame:
     """Shape, nulls, duplicates, amounts of zero or less, statistics and cardinality as
     one long table ``(section, item, value)``."""
 
-    def long(df: DataFrame, section: str, prefix: str = "") -> DataFrame:
-        wide = df.select(*[F.col(c).cast("double").alias(prefix + c) for c in df.columns])
+    def long(df: DataFrame, section: str) -> DataFrame:
+        wide = df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])
         return wide.unpivot([], wide.columns, "item", "value").select(F.lit(section).alias("section"), "item", "value")
 
-    nulls = null_counts(gold).select(
-        F.lit("nulls").alias("section"), F.col("column_name").alias("item"), F.col("null_count").cast("double").alias("value")
+    counted = placed(column_counts(gold))
+    nulls = _nulls(counted).select(
+        F.lit("nulls").alias("section"),
+        F.col("column_name").alias("item"),
+        F.col("null_count").cast("double").alias("value"),
     )
-    stats = describe(gold)
+    stats = describe_counts(counted)
     figures = [c for c in stats.columns if c != "column_name"]
     described = (
         stats.select("column_name", *[F.col(c).cast("double").alias(c) for c in figures])
