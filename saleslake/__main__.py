@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 
 from saleslake.operators.star import VARIANTS
 from saleslake.plans.load import run
+from saleslake.sources.rules import read_rules
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -14,6 +15,12 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("feed", help="file, folder or URI of the feed")
     parser.add_argument("base", help="folder or URI for quarantine, silver and gold")
     parser.add_argument("--variant", choices=VARIANTS, default="same_day")
+    parser.add_argument(
+        "--rules",
+        nargs=2,
+        metavar=("EXACT", "KEYWORDS"),
+        help="rule tables (label, category) and (priority, category, keyword), CSV with header or .parquet",
+    )
     options = parser.parse_args(arguments)
     spark = (
         SparkSession.builder.appName("saleslake")
@@ -21,7 +28,8 @@ def main(arguments: list[str] | None = None) -> int:
         .getOrCreate()
     )
     try:
-        run(spark, options.feed, options.base, options.variant).show()
+        rules = read_rules(spark, *options.rules) if options.rules else None
+        run(spark, options.feed, options.base, options.variant, rules).show()
     except Exception as error:
         print(f"load failed: {error}", file=sys.stderr)
         return 1

@@ -70,6 +70,16 @@ def test_command_line(spark, feed, folder, capsys):
     assert main([f"{folder}/nowhere", f"{folder}/out"]) == 1
 
 
+def test_command_line_with_own_rules(spark, feed, folder):
+    exact, words = f"{folder}/exact.csv", f"{folder}/words.parquet"
+    with open(exact, "w") as out:
+        out.write('label,category\nCEREAL,"Food, dry"\n')
+    spark.createDataFrame([(0, "Treats", "CHOC")], "priority int, category string, keyword string").write.parquet(words)
+    assert main([feed, f"{folder}/out", "--rules", exact, words]) == 0
+    products = Gold.read(spark, f"{folder}/out").products
+    assert as_set(products.select("pln_id", "broad_category")) == {(1001, "Treats"), (1002, "Food, dry")}
+
+
 def test_parity(spark, feed, folder):
     rows = read_feed(spark, feed)
     assert one(quality.source_parity(rows, rows))["ok"]
