@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleslake.sources.layers import GOLD_COLUMNS, GOLD_TABLES, Gold, Layers
 
-# Report names of result columns, by their lower-case form.
+# --- Fixed values: report names of result columns, by their lower-case form ----
 REPORT_NAMES = {
     "date": "DATE",
     "current_sales": "CURRENT_SALES",

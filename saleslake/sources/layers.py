@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+# --- Fixed values: columns of the gold tables ----------------------------------
 GOLD_COLUMNS = {
     "fact_sales": "date_key INT, pln_id BIGINT, segment_id STRING, is_promo BOOLEAN, actual_sales FLOAT",
     "dim_date": (
