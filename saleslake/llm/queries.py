@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.llm.registry import query, table
+from saleslake.llm.secrets import span_digests
 from saleslake.llm.top_k import integer_vectors, top_k
 
 
@@ -30,3 +31,8 @@ from saleslake.llm.top_k import integer_vectors, top_k
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op4_secret_scans")
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(table(spark, sf_dir, "documents"))
