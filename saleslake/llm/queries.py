@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from saleslake.llm.packing import pack, token_pieces
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
 from saleslake.llm.top_k import integer_vectors, top_k
@@ -36,3 +37,8 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_secret_scans")
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_pieces(table(spark, sf_dir, "documents")))
