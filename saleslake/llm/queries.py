@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.llm.packing import pack, token_pieces
+from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
 from saleslake.llm.top_k import integer_vectors, top_k
@@ -42,3 +43,72 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents")))
+
+
+@query(
+    "op5_quality_rules",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t
+      FROM documents
+    ), words AS (
+      SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+    ), placed AS (
+      SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words
+    ), windows AS (
+      SELECT a.r, a.i, a.word || ' ' || b.word || ' ' || c.word AS gram
+      FROM placed a JOIN placed b ON a.r = b.r AND b.i = a.i + 1 JOIN placed c ON a.r = c.r AND c.i = a.i + 2
+    ), twice AS (
+      SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM windows) WHERE n > 1
+    ), repeated AS (
+      SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) o(k) GROUP BY r
+    ), lines AS (
+      SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+    ), stats AS (
+      SELECT r, doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM d JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
+    ), judged AS (
+      SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * n_dup_lines // greatest(n_words, 1) AS dup_lines,
+             1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 100 * word_chars // greatest(n_words, 1) AS length
+      FROM stats
+    ), ratios AS (
+      SELECT lang, source, metric, value FROM judged
+      UNPIVOT (value FOR metric IN (symbols, dup_lines, repeats, length)) WHERE NOT base_failed
+    ), rounded AS (
+      SELECT lang, source, metric, (value >> greatest(length(bin(value)) - 5, 0)) << greatest(length(bin(value)) - 5, 0) AS bucket
+      FROM ratios
+    ), levels AS (
+      SELECT 2 AS lvl, lang, source, metric, bucket FROM rounded
+      UNION ALL SELECT 1, lang, NULL, metric, bucket FROM rounded
+      UNION ALL SELECT 0, NULL, NULL, metric, bucket FROM rounded
+    ), ranked AS (
+      SELECT *, count(*) OVER g AS total, count(*) OVER (g ORDER BY bucket) AS upto
+      FROM levels WINDOW g AS (PARTITION BY lvl, lang, source, metric)
+    ), quartiles AS (
+      SELECT lvl, lang, source, metric, min(bucket) FILTER (4 * upto >= total) AS q1, min(bucket) FILTER (4 * upto >= 3 * total) AS q3
+      FROM ranked WHERE lvl = 0 OR total >= 100 GROUP BY ALL
+    ), bounds AS (
+      SELECT lvl, lang, source,
+             max(q3 + 3 * (q3 - q1) + 50) FILTER (metric = 'symbols') AS symbols_b,
+             max(q3 + 3 * (q3 - q1) + 20) FILTER (metric = 'dup_lines') AS dup_lines_b,
+             max(q3 + 3 * (q3 - q1) + 100) FILTER (metric = 'repeats') AS repeats_b,
+             max(q3 + 3 * (q3 - q1) + 100) FILTER (metric = 'length') AS length_b,
+             max(q1 - 3 * (q3 - q1) - 100) FILTER (metric = 'length') AS short_b
+      FROM quartiles GROUP BY ALL
+    ), best AS (
+      SELECT r, arg_max(b, b.lvl) AS b FROM judged j JOIN bounds b
+      ON b.lvl = 0 OR (b.lvl = 1 AND b.lang = j.lang) OR (b.lvl = 2 AND b.lang = j.lang AND b.source = j.source) GROUP BY r
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(symbols <= b.symbols_b AND dup_lines <= b.dup_lines_b AND repeats <= b.repeats_b
+             AND length <= b.length_b AND length >= b.short_b, TRUE) AS kept
+    FROM judged LEFT JOIN best USING (r)
+    """,
+)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
