@@ -21,7 +21,7 @@ THIN = 100
 #: A ratio may lie this many quartile ranges outside the quartiles ...
 RANGES = 3
 #: ... and so much further, in the ratio's own unit.
-SLACK = {"symbols": 50, "dup_lines": 20, "repeats": 100, "length": 100}
+SLACK = {"symbols": 50, "dup_lines": 50, "repeats": 250, "length": 100}
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 

@@ -95,8 +95,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), bounds AS (
       SELECT lvl, lang, source,
              max(q3 + 3 * (q3 - q1) + 50) FILTER (metric = 'symbols') AS symbols_b,
-             max(q3 + 3 * (q3 - q1) + 20) FILTER (metric = 'dup_lines') AS dup_lines_b,
-             max(q3 + 3 * (q3 - q1) + 100) FILTER (metric = 'repeats') AS repeats_b,
+             max(q3 + 3 * (q3 - q1) + 50) FILTER (metric = 'dup_lines') AS dup_lines_b,
+             max(q3 + 3 * (q3 - q1) + 250) FILTER (metric = 'repeats') AS repeats_b,
              max(q3 + 3 * (q3 - q1) + 100) FILTER (metric = 'length') AS length_b,
              max(q1 - 3 * (q3 - q1) - 100) FILTER (metric = 'length') AS short_b
       FROM quartiles GROUP BY ALL
