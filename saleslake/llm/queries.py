@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from saleslake.llm.near_dedup import near_duplicates
 from saleslake.llm.packing import pack, token_pieces
 from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
@@ -112,3 +113,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

@@ -44,4 +44,5 @@ def word_hashes(data: bytes) -> np.ndarray:
     places = np.flatnonzero(inside[1:-1])
     power = _powers(longest)[ends[word_of] - 1 - places]
     values = (LOWER[raw[places]].astype(np.uint64) + np.uint64(1)) * power
-    return mix(np.add.reduceat(values, starts - np.concatenate([[0], (starts[1:] - ends[:-1]).cumsum()]) - starts[0]) + (ends - starts).astype(np.uint64))
+    begins = np.concatenate([[0], np.cumsum(ends - starts)[:-1]])
+    return mix(np.add.reduceat(values, begins) + (ends - starts).astype(np.uint64))
