@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from saleslake.llm.language_id import language_predictions
 from saleslake.llm.near_dedup import near_duplicates
 from saleslake.llm.packing import pack, token_pieces
+from saleslake.llm.quality_classifier import quality_scores
 from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
@@ -118,3 +120,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
