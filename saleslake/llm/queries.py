@@ -11,6 +11,7 @@ from saleslake.llm.quality_classifier import quality_scores
 from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
+from saleslake.llm.sharding import document_shards
 from saleslake.llm.top_k import integer_vectors, top_k
 
 
@@ -130,3 +131,26 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_classifier")
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SHARDS_SQL = """
+    WITH d AS (
+      SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+             list_aggregate(list_transform(string_split(substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16), ''),
+               lambda c: lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), 'string_agg', '') AS bits
+      FROM documents
+    ), prefixes AS (
+      SELECT depth, substr(bits, 1, depth) AS shard, sum(n_bytes) AS shard_bytes, count(*) AS shard_docs
+      FROM d, range(0, 65) r(depth) GROUP BY ALL
+    ), fitting AS (
+      SELECT * FROM prefixes WHERE shard_bytes <= {limit} OR shard_docs = 1
+    )
+    SELECT doc_id, arg_min(shard, depth) AS shard, n_bytes, CAST(arg_min(shard_bytes, depth) AS BIGINT) AS shard_bytes,
+           arg_min(shard_docs, depth) AS shard_docs
+    FROM d JOIN fitting ON substr(bits, 1, depth) = shard GROUP BY doc_id, n_bytes, bits
+"""
+
+
+@query("op7_sharding", SHARDS_SQL.format(limit=64 << 20))
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_shards(table(spark, sf_dir, "documents"))
