@@ -12,6 +12,7 @@ from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
 from saleslake.llm.sharding import document_shards
+from saleslake.llm.token_counts import document_token_counts
 from saleslake.llm.top_k import integer_vectors, top_k
 
 
@@ -154,3 +155,8 @@ SHARDS_SQL = """
 @query("op7_sharding", SHARDS_SQL.format(limit=64 << 20))
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_token_counts(table(spark, sf_dir, "documents"))

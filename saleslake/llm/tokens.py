@@ -17,8 +17,10 @@ _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e¡-ɏ‐-‧‰-⁞]")
 
 
 @cache
-def _tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+def _tokenizer(path: str, special_as_text: bool) -> Tokenizer:
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = special_as_text
+    return tokenizer
 
 
 @cache
@@ -29,11 +31,12 @@ def _ranks(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(text: str | None, path: str = BYTE_BPE) -> np.ndarray:
+def encode(text: str | None, path: str = BYTE_BPE, special_as_text: bool = False) -> np.ndarray:
     """Ids without special tokens added; a null text is empty. Texts with characters outside the
-    tested range, or that spell the special token, go through the reference library itself."""
+    tested range, or that spell the special token, go through the reference library itself, which
+    by itself reads that spelling as the token."""
     if not text:
         return np.zeros(0, dtype=np.uint32)
     if _UNUSUAL.search(text) or "<|endoftext|>" in text:
-        return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(_tokenizer(path, special_as_text).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     return _ranks(path).encode_to_numpy(text, disallowed_special=())
