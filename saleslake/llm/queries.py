@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from saleslake.llm.language_id import language_predictions
 from saleslake.llm.near_dedup import near_duplicates
 from saleslake.llm.packing import pack, token_pieces
+from saleslake.llm.pieces import piece_digests
 from saleslake.llm.quality_classifier import quality_scores
 from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
@@ -160,3 +161,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"))
