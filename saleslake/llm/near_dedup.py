@@ -285,3 +285,21 @@ def _per_document(placed: DataFrame) -> DataFrame:
     return placed.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents, one of each group of near-duplicates, with their columns as they came.
+
+    The document with the least id stays. Of rows that share that id the one with the smallest
+    text stays; rows without id all stay.
+    """
+    found = written(near_duplicates(docs, width, percent), "groups")
+    found = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows"))
+    found = written(found.filter("NOT kept OR rows > 1"), "not_alone")
+    repeated = found.filter("kept").select("doc_id")
+    rest = docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    if not repeated.take(1):
+        return rest
+    of_repeated = docs.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    one = of_repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
+    return rest.unionByName(one.select("row.*"))

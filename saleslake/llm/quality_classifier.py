@@ -144,5 +144,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
     """The rows that the model gives class 1, with their columns as they came."""
-    packed = docs.select(F.struct(*docs.columns).alias("kept_columns"), "text")
-    return scored(packed, model).filter("score >= 0.5").select("kept_columns.*")
+    into = "score"
+    while into in docs.columns:
+        into += "_"
+    return scored(docs, model, into).filter(F.col(into) >= 0.5).drop(into)
