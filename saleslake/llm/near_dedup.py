@@ -29,7 +29,7 @@ REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
 #: At a similarity of 0.85 fewer than one pair in a million is estimated below.
 LEAST_ESTIMATE = 0.6
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
 _MIXES = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
