@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from saleslake.llm.tables import written
+from saleslake.llm.tables import small_side, written
 
 SPACE = "[\\x20\\x09-\\x0D]"
 NO_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -22,8 +22,6 @@ THIN = 100
 RANGES = 3
 #: ... and so much further, in the ratio's own unit.
 SLACK = {"symbols": 50, "dup_lines": 50, "repeats": 250, "length": 100}
-#: Bounds of at most so many groups are broadcast.
-BROADCAST_ROWS = 50_000
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -146,13 +144,6 @@ def thresholds(sketch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return _fences(sketch, ["lang", "source"], "source"), _fences(sketch, ["lang"], "lang"), _fences(sketch, [], "all")
 
 
-def _small(fences: DataFrame, name: str) -> DataFrame:
-    """Bounds to be sent to every executor where they are few by count (at some 100 bytes a row), so
-    that texts of a hot source stay where they are; else Spark joins them, splitting hot sources."""
-    fences = written(fences, name)
-    return F.broadcast(fences) if fences.count() <= BROADCAST_ROWS else fences
-
-
 def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     """Structs ``kept_columns`` (those carried) and ``verdict`` (STATS, base_failed, kept).
 
@@ -175,7 +166,7 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     widest = of_all.first()["bounds_all"]  # five numbers; null where no text passed the base rules
     last = F.struct(*(F.lit(None if widest is None else widest[m]).cast("long").alias(m) for m in [*SLACK, "short"]))
     bounds = F.coalesce("bounds_source", "bounds_lang", last)
-    joined = judged.join(_small(by_source, "by_source"), ["lang", "source"], "left").join(_small(by_lang, "by_lang"), ["lang"], "left")
+    joined = judged.join(small_side(by_source, "by_source"), ["lang", "source"], "left").join(small_side(by_lang, "by_lang"), ["lang"], "left")
     joined = joined.withColumn("b", bounds)
     b, r = F.col("b"), F.col("ratios")
     inside = (r["length"] <= b["length"]) & (r["length"] >= b["short"])

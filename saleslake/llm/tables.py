@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Tables of at most so many short rows are broadcast.
+BROADCAST_ROWS = 50_000
 _LOCAL: dict[str, str] = {}
 
 
@@ -32,3 +34,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """A table of short rows, written and counted: few are broadcast, so that the rows they are
+    joined to stay where they are; else Spark joins them as it sees fit, splitting hot keys."""
+    table = written(df, name)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
