@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.ngrams import code_points, hashed, letters
+from saleslake.llm.tables import small_side
 
 BITS = 12
 ORDERS = (1, 2, 3)
@@ -109,7 +110,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
 
     rate = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*")).alias("rate"))
     draw = F.xxhash64(F.lit(3), "text", F.monotonically_increasing_id())
-    drawn = rows.withColumn("draw", draw).join(rate, "lang")
+    drawn = rows.withColumn("draw", draw).join(small_side(rate, "rates"), "lang")
     drawn = drawn.filter(F.pmod("draw", F.lit(1 << 30)) < F.col("rate") * (1 << 30)).drop("rate")
 
     def cluster(table: pa.Table) -> pa.Table:
