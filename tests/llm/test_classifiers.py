@@ -1,0 +1,87 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from saleslake.llm.language_id import language_predictions
+from saleslake.llm.quality_classifier import drop_rejected, fit, fit_model, indicators, quality_scores
+from tests.llm.odd import documents, odd_documents
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_languages_of_texts_held_out(spark, docs):
+    out = language_predictions(docs)
+    held = out.filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    share, rejected, n = held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.avg(F.col("rejected").cast("int")), F.count("*")).first()
+    assert n > 150 and share > 0.97 and rejected < 0.2
+    assert out.filter("NOT score BETWEEN 0 AND 1").count() == 0 and out.count() == docs.count()
+
+
+def test_a_strange_text_is_rejected(spark, docs):
+    strange = documents(spark, [(10**6, "щжцы бвгд жзйк лмнп рстф хцчш щъыь эюяа " * 20), (10**6 + 1, "123 456 !!"), (10**6 + 2, None)])
+    out = {r.doc_id: r for r in language_predictions(docs.unionByName(strange.withColumn("lang", F.lit(None).cast("string")))).filter("doc_id >= 1000000").collect()}
+    assert out[10**6].rejected and out[10**6].lang_pred in ("en", "de", "fr", "es")
+    assert [(out[10**6 + i].lang_pred, out[10**6 + i].score) for i in (1, 2)] == [("und", 0.0)] * 2
+
+
+def test_languages_of_odd_documents(spark):
+    out = language_predictions(odd_documents(spark)).collect()
+    assert len(out) == 12
+    assert {r.lang_pred for r in out if r.doc_id in (1, 2, 3)} == {"und"}
+    assert not [r for r in out if r.doc_id is None and r.held_out]
+    empty = documents(spark, [])
+    assert language_predictions(empty).collect() == []
+    untaught = documents(spark, [(1, "some text")]).withColumn("lang", F.lit(None).cast("string"))
+    assert [(r.lang_pred, r.score) for r in language_predictions(untaught).collect()] == [("und", 0.0)]
+
+
+def test_quality_of_texts_held_out(docs, labels):
+    out = quality_scores(docs, labels)
+    held = out.filter("held_out").join(labels, "doc_id")
+    wrong, n = held.agg(F.sum((F.col("quality") != F.col("predicted")).cast("int")), F.count("*")).first()
+    assert n > 80 and wrong <= 0.03 * n
+    assert out.filter("NOT score BETWEEN 0 AND 1 OR predicted <> (CASE WHEN score >= 0.5 THEN 1 ELSE 0 END)").count() == 0
+    assert out.count() == docs.count()
+
+
+def test_the_fit_is_a_minimum_of_the_hinge_loss():
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("abcd" if i % 2 else "cdef"), 12)) for i in range(60)]
+    rows, y = [indicators(t) for t in texts], np.array([i % 2 for i in range(60)])
+    model = fit_model(rows, y)
+    assert np.mean([(model.score(t) >= 0.5) == bool(c) for t, c in zip(texts, y)]) > 0.95
+
+    def loss(weights, bias):
+        margins = []
+        for row in rows:
+            x = model.ratio[row]
+            margins.append(weights[row] @ (x / np.sqrt(x @ x)) + bias)
+        hinge = np.maximum(0, 1 - np.where(y == 1, 1, -1) * np.array(margins))
+        return (weights @ weights + bias**2) / 2 + 2 * hinge.sum()  # classes of equal size cost 2 each
+
+    least = loss(model.weights, model.bias)
+    for _ in range(20):
+        assert loss(model.weights + rng.normal(0, 0.01, len(model.weights)), model.bias) > least * 0.995
+
+
+def test_quality_of_odd_documents(spark, labels):
+    odd = odd_documents(spark)
+    marks = spark.createDataFrame([(4, 1), (7, 0), (5, 1), (5, 0), (None, 1), (8, None), (9, 7)], "doc_id long, quality int")
+    out = quality_scores(odd, marks).collect()
+    assert len(out) == 12 and not [r for r in out if not 0 <= r.score <= 1]
+    none = quality_scores(odd, marks.limit(0)).collect()
+    assert {r.predicted for r in none} == {1}
+    empty = documents(spark, [])
+    assert quality_scores(empty, marks).collect() == []
+    kept = drop_rejected(odd, fit(odd, marks))
+    assert kept.columns == odd.columns
