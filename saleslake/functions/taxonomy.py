@@ -1,39 +1,43 @@
 """Broad category of a product label, as one expression without join or UDF."""
 
+import csv
 import re
 from dataclasses import dataclass, field
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
-from saleslake.functions import starter_taxonomy
 from saleslake.functions.fixed_values import OTHER
 from saleslake.functions.text import strip
 
-# Rules up to this number become part of the plan; more are joined (operators.classify).
-MAX_INLINE_RULES = 5000
+# The rule files of the package; callers may hand in others (``sources.rules``).
+EXACT_FILE = Path(__file__).parent.parent / "rules" / "exact.csv"
+KEYWORD_FILE = EXACT_FILE.with_name("keywords.csv")
+
+
+def _lines(path: Path) -> list[dict[str, str]]:
+    with open(path, encoding="utf-8", newline="") as file:
+        return list(csv.DictReader(line for line in file if not line.startswith("#")))
+
+
+def _exact() -> dict[str, str]:
+    return {r["label"]: r["category"] for r in _lines(EXACT_FILE)}
+
+
+def _keywords() -> dict[str, list[str]]:
+    words: dict[str, list[str]] = {}
+    for r in sorted(_lines(KEYWORD_FILE), key=lambda r: int(r["priority"])):
+        words.setdefault(r["category"], []).append(r["keyword"])
+    return words
 
 
 @dataclass(frozen=True)
 class Taxonomy:
-    """Exact labels, and keywords by category in order of precedence."""
-
-    exact: dict[str, str] = field(default_factory=lambda: dict(starter_taxonomy.EXACT))
-    keywords: dict[str, list[str]] = field(
-        default_factory=lambda: {c: list(words) for c, words in starter_taxonomy.KEYWORDS.items()}
-    )
+    """Exact labels, and keywords by category in order of precedence; those of the
+    package unless given. Rule tables of any size are joined (``operators.classify``)."""
 
-    @classmethod
-    def from_tables(cls, exact: DataFrame, keywords: DataFrame) -> "Taxonomy":
-        """Rules from ``(label, category)`` and ``(priority, category, keyword)``."""
-        found = [t.limit(MAX_INLINE_RULES + 1).collect() for t in (exact, keywords)]
-        if max(map(len, found)) > MAX_INLINE_RULES:
-            raise ValueError(
-                f"more than {MAX_INLINE_RULES} rules: join them with operators.classify.classify_labels"
-            )
-        by_category: dict[str, list[str]] = {}
-        for row in sorted(found[1], key=lambda r: r["priority"]):
-            by_category.setdefault(row["category"], []).append(row["keyword"])
-        return cls({row["label"]: row["category"] for row in found[0]}, by_category)
+    exact: dict[str, str] = field(default_factory=_exact)
+    keywords: dict[str, list[str]] = field(default_factory=_keywords)
 
 
 def exact_category(label: Column, rules: Taxonomy) -> Column:

@@ -1,7 +1,6 @@
 """Classification with rule tables of any size.
 
-``functions.taxonomy`` turns a few thousand rules into one expression. Here the rules
-stay tables: every part of a label that is as long as some keyword is looked up with
+``functions.taxonomy`` turns the rules into one expression. Here they stay tables: every part of a label that is as long as some keyword is looked up with
 an equi-join, so there is no label-by-keyword comparison and no rule ever has to fit
 in one process.
 """
@@ -54,8 +53,8 @@ def classify_labels(
     )
 
 
-def map_category(products: DataFrame, category_map: DataFrame) -> DataFrame:
+def map_category(products: DataFrame, category_map: DataFrame, missing: str = UNMAPPED) -> DataFrame:
     """Products LEFT JOIN ``(legacy_category_label, broad_category)``."""
     return products.join(category_map, "legacy_category_label", "left").withColumn(
-        "broad_category", F.coalesce("broad_category", F.lit(UNMAPPED))
+        "broad_category", F.coalesce("broad_category", F.lit(missing))
     )

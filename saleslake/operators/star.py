@@ -3,20 +3,24 @@
 Two variants of the same four tables:
 
 ``same_day``   last year's key is the same weekday (364 days back); categories come
-               from exact labels and keywords; undated rows stay, with a null key.
+               from exact labels and keywords, and a product without label is
+               unmapped; undated rows stay, with a null key.
 ``calendar``   last year's key is the same calendar day; categories come from exact
-               labels only; undated rows are left out.
+               labels only, and a product without label is Other; undated rows are
+               left out.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.functions import dates, flags
-from saleslake.functions.fixed_values import UNMAPPED
+from saleslake.functions.fixed_values import OTHER, UNMAPPED
 from saleslake.functions.taxonomy import Taxonomy, broad_category, listed_category
 from saleslake.operators.classify import RuleTables, classify_labels, map_category
 from saleslake.sources.layers import Gold
 
-VARIANTS = ("same_day", "calendar")
+# Category of a product without label, by variant.
+NO_LABEL = {"same_day": UNMAPPED, "calendar": OTHER}
+VARIANTS = tuple(NO_LABEL)
 
 PRODUCT_COLUMNS = {
     "PLN": "pln_id",
@@ -74,10 +78,9 @@ def dim_product(
         keywords = rules.keywords if variant == "same_day" else rules.keywords.limit(0)
         labels = products.select(label.alias("label"))
         found = classify_labels(labels, rules.exact, keywords, as_listed=variant == "calendar")
-        return map_category(products, found.withColumnRenamed("label", "legacy_category_label"))
-    if variant == "calendar":
-        return products.withColumn("broad_category", listed_category(label, rules))
-    return products.withColumn("broad_category", F.coalesce(broad_category(label, rules), F.lit(UNMAPPED)))
+        return map_category(products, found.withColumnRenamed("label", "legacy_category_label"), NO_LABEL[variant])
+    category = listed_category(label, rules) if variant == "calendar" else broad_category(label, rules)
+    return products.withColumn("broad_category", F.when(label.isNull(), NO_LABEL[variant]).otherwise(category))
 
 
 def dim_segment(silver: DataFrame) -> DataFrame:

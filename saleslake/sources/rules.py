@@ -1,4 +1,4 @@
-"""Category rules kept as files: CSV with a header line, or Parquet."""
+"""Category rules kept as files: CSV with a header line (lines with # are comments), or Parquet."""
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +10,7 @@ KEYWORD_COLUMNS = "priority INT, category STRING, keyword STRING"
 
 def _read(spark: SparkSession, path: str, columns: str) -> DataFrame:
     reader = spark.read.schema(columns)
-    return reader.parquet(path) if path.rstrip("/").endswith(".parquet") else reader.option("header", True).csv(path)
+    return reader.parquet(path) if path.rstrip("/").endswith(".parquet") else reader.option("header", True).option("comment", "#").csv(path)
 
 
 def read_rules(spark: SparkSession, exact_path: str, keyword_path: str) -> RuleTables:
