@@ -1,11 +1,13 @@
 """A dirty sales feed derived from ``lineitem`` and ``part``, and the lake loaded from it."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.plans.load import run
 from saleslake.sources.feed import read_feed, write_feed
 from saleslake.sources.layers import Gold, Layers
-from saleslake.sources.scratch import scratch_path
 
 LABELS = [
     '" cHoCoLaTe  "', "Daily Vitamins", "red wine 750ml", "CEREAL", "HAIR GEL", "STEAK KNIFE",
@@ -60,6 +62,19 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.withColumn("copy", copies).drop("k", "copy")
 
 
+_LOCAL: dict[str, str] = {}
+
+
+def check_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the session shares; a session without one (a local
+    process) gets a temporary folder of its own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    application = spark.sparkContext.applicationId
+    if not shared:
+        shared = _LOCAL.setdefault(application, tempfile.mkdtemp(prefix="saleslake-checks-"))
+    return f"{shared.rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
+
+
 class Lake:
     """Feed file, quarantine, silver and gold of one scale, loaded once per application."""
 
@@ -67,7 +82,7 @@ class Lake:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.base = scratch_path(spark, "lake")
+        self.base = check_folder(spark, "lake")
         self.feed_path = f"{self.base}/feed"
         # The feed arrives with its dirty header.
         write_feed(raw_feed(spark, sf_dir).withColumnRenamed("PROMO", "PROMO,,"), self.feed_path)

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.lake import Lake, raw_feed
+from checks.lake import Lake, check_folder, raw_feed
 from checks.tables_sql import TABLES
 from saleslake.operators.cleaning import clean, valid_rows
 from saleslake.operators.silver import drop_copies, golden_records, nullify_aliases
@@ -45,7 +45,10 @@ class Context:
 
     @cached_property
     def golden(self) -> DataFrame:
-        return written(golden_records(self.valid), "golden")
+        return written(golden_records(self.valid), self.folder("golden"))
+
+    def folder(self, name: str) -> str:
+        return check_folder(self.spark, name)
 
     @cached_property
     def lake(self) -> Lake:

@@ -53,9 +53,21 @@ def flt_not_in(ctx):
     return growth.not_in(ctx.gold.products, "broad_category", HIDDEN_CATEGORIES)
 
 
-@check("flt_drop_nulls", "SELECT DATE, PLN, SEG FROM silver WHERE DATE IS NOT NULL")
+@check(
+    "flt_drop_nulls",
+    """SELECT 'date' AS dimension, CAST(DATE AS VARCHAR) AS member FROM silver WHERE DATE IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'segment', SEG FROM silver WHERE SEG IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 'product', CAST(PLN AS VARCHAR) FROM silver WHERE PLN IS NOT NULL GROUP BY ALL""",
+)
 def flt_drop_nulls(ctx):
-    return ctx.silver.select("DATE", "PLN", "SEG").dropna(subset=["DATE", "PLN", "SEG"])
+    """The members of the three dimensions, from silver rows of which some have gaps."""
+
+    def members(name, df, column):
+        return df.select(F.lit(name).alias("dimension"), col(column).cast("string").alias("member"))
+
+    days = members("date", star.dim_date(ctx.silver), "full_date")
+    segments = members("segment", star.dim_segment(ctx.silver), "segment_id")
+    return days.unionAll(segments).unionAll(members("product", star.dim_product(ctx.silver), "pln_id"))
 
 
 @check("flt_nonpositive", "SELECT * FROM fact_sales WHERE actual_sales <= 0")
@@ -63,20 +75,21 @@ def flt_nonpositive(ctx):
     return audit.nonpositive(ctx.gold.fact)
 
 
-@check("flt_category", "SELECT * FROM dim_product WHERE broad_category = 'Other'")
+@check(
+    "flt_category",
+    "SELECT legacy_category_label, sum(actual) AS total_sales FROM flat WHERE product_category = 'Other' GROUP BY ALL",
+)
 def flt_category(ctx):
-    return ctx.gold.products.filter(col("broad_category") == "Other")
+    return audit.top_unmapped(ctx.gold, 1_000_000)
 
 
 @check(
     "flt_latest",
-    """SELECT date, wow_pct_increase, yoy_pct_increase FROM weekly_growth
+    """SELECT wow_pct_increase AS latest_wow_pct, yoy_pct_increase AS latest_yoy_pct FROM weekly_growth
     WHERE date = (SELECT max(date) FROM weekly_growth)""",
 )
 def flt_latest(ctx):
-    weeks = metrics.weekly_metrics(ctx.gold)
-    latest = [F.max_by(c, "date").alias(c) for c in ("wow_pct_increase", "yoy_pct_increase")]
-    return weeks.agg(F.max("date").alias("date"), *latest)
+    return trends.kpis(ctx.gold).drop("total_sales")
 
 
 # --- Joins ---------------------------------------------------------------------
@@ -104,22 +117,19 @@ def join_fact_date(ctx):
     return star.join_fact_date(ctx.silver, ctx.gold.dates)
 
 
-@check("join_star_date", "SELECT f.*, d.full_date FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key")
+@check("join_star_date", "SELECT date, pln AS pln_id, seg AS segment_id, is_promo, actual AS actual_sales FROM flat WHERE date IS NOT NULL")
 def join_star_date(ctx):
-    return ctx.gold.fact.join(ctx.gold.dates.select("date_key", "full_date"), "date_key")
+    return growth.with_date(ctx.gold.fact, ctx.gold)
 
 
-@check(
-    "join_star_product",
-    "SELECT f.*, p.broad_category, p.business_unit FROM fact_sales f JOIN dim_product p ON f.pln_id = p.pln_id",
-)
+@check("join_star_product", sql.cells("product_category"))
 def join_star_product(ctx):
-    return ctx.gold.fact.join(ctx.gold.products.select("pln_id", "broad_category", "business_unit"), "pln_id")
+    return growth.weekly_group_sales(ctx.gold, "broad_category")
 
 
-@check("join_star_segment", "SELECT f.* FROM fact_sales f JOIN dim_segment s ON f.segment_id = s.segment_id")
+@check("join_star_segment", sql.segment(ALL_DATES))
 def join_star_segment(ctx):
-    return ctx.gold.fact.join(ctx.gold.segments, "segment_id")
+    return metrics.segment_metrics(ctx.gold)
 
 
 @check("join_flat", "SELECT * FROM flat")
@@ -151,13 +161,21 @@ def dst_product_rows(ctx):
 @check(
     "dst_values",
     """SELECT 'DATE' AS column_name, CAST(full_date AS VARCHAR) AS value FROM days
-    UNION ALL SELECT 'SEG', segment_id FROM dim_segment
+    UNION ALL SELECT 'SEG', SEG FROM silver WHERE SEG IS NOT NULL GROUP BY ALL
     UNION ALL SELECT 'PRODUCT_CATEGORY_LABEL', label FROM category_map""",
 )
 def dst_values(ctx):
-    columns = ["DATE", "SEG", "PRODUCT_CATEGORY_LABEL"]
-    texts = ctx.silver.select(*[col(c).cast("string").alias(c) for c in columns])
-    return texts.unpivot([], columns, "column_name", "value").dropna(subset=["value"]).distinct()
+    """The distinct values that the load takes from silver: dates, segments, labels."""
+    labels = classify.classify_labels(
+        ctx.silver.select(col("PRODUCT_CATEGORY_LABEL").alias("label")), *rule_tables(ctx.spark)
+    )
+    parts = [
+        ("DATE", star.dim_date(ctx.silver), "full_date"),
+        ("SEG", star.dim_segment(ctx.silver), "segment_id"),
+        ("PRODUCT_CATEGORY_LABEL", labels, "label"),
+    ]
+    named = [df.select(F.lit(n).alias("column_name"), col(c).cast("string").alias("value")) for n, df, c in parts]
+    return named[0].unionAll(named[1]).unionAll(named[2])
 
 
 @check("agg_golden", "SELECT * FROM golden")
@@ -189,18 +207,18 @@ def agg_sum_week(ctx):
 
 @check(
     "agg_sum_week_group",
-    f"SELECT date, grp, current_sales FROM ({sql.group_weekly('business_unit')}) w",
+    f"SELECT date, grp, current_sales FROM ({sql.cells('bu')}) w",
 )
 def agg_sum_week_group(ctx):
     return growth.weekly_group_sales(ctx.gold, "business_unit").drop("promo_sales")
 
 
-@check("agg_cond_sum", f"SELECT date, grp, promo_sales FROM ({sql.group_weekly('opstudy_label')}) w")
+@check("agg_cond_sum", f"SELECT date, grp, promo_sales FROM ({sql.cells('opstudy_label')}) w")
 def agg_cond_sum(ctx):
     return growth.weekly_group_sales(ctx.gold, "opstudy_label").drop("current_sales")
 
 
-@check("agg_resum", sql.group_period("broad_category"))
+@check("agg_resum", sql.groups("product_category"))
 def agg_resum(ctx):
     lagged = growth.lagged_groups(growth.weekly_group_sales(ctx.gold, "broad_category", until=END))
     return growth.period_sums(growth.between_dates(lagged, START, END))
@@ -293,7 +311,7 @@ def describe_sql(shown: str = "round({}, 4)") -> str:
 
 @check("agg_describe", describe_sql())
 def agg_describe(ctx):
-    return audit.describe(ctx.gold).withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+    return audit.describe(ctx.gold, ctx.folder("describe")).withColumns({c: F.round(c, 4) for c in ("mean", "std")})
 
 
 CARDINALITY = """SELECT count(DISTINCT pln) + max((pln IS NULL)::INT) AS unique_plns,
@@ -336,10 +354,10 @@ def win_lag52(ctx):
 
 
 def group_lag(column: str, lag: str) -> str:
-    return f"SELECT date, grp, current_sales, promo_sales, {lag} AS earlier FROM ({sql.group_lagged(column)}) l"
+    return f"SELECT date, grp, current_sales, promo_sales, {lag} AS earlier FROM ({sql.cells_with_past(column)}) l"
 
 
-@check("win_lag1_group", group_lag("business_unit", "prev_week_sales"))
+@check("win_lag1_group", group_lag("bu", "prev_week_sales"))
 def win_lag1_group(ctx):
     weekly = growth.weekly_group_sales(ctx.gold, "business_unit")
     return weekly.withColumn("earlier", growth.lag_rows(growth.WEEK_BACK, group="grp"))

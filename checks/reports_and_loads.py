@@ -26,7 +26,7 @@ def q_weekly_metrics(ctx):
     return metrics.weekly_metrics(ctx.gold, START, END)
 
 
-@check("q_top_category", sql.top("broad_category", "product_category", 10, f"p.broad_category NOT IN {sql.HIDDEN}"))
+@check("q_top_category", sql.top("product_category", "product_category", 10, hidden=True))
 def q_top_category(ctx):
     return metrics.top_metrics(ctx.gold, START, END, "PRODUCT_CATEGORY", 10, HIDDEN_CATEGORIES)
 
@@ -41,7 +41,7 @@ def q_top_label(ctx):
     return metrics.top_metrics(ctx.gold, START, END, "PLN_LABEL", 10)
 
 
-@check("q_top_bu", sql.top("business_unit", "bu", 10, dates=LAST_12))
+@check("q_top_bu", sql.top("bu", "bu", 10, dates=LAST_12))
 def q_top_bu(ctx):
     """The last twelve weeks, as the reports ask by default."""
     return metrics.top_metrics(ctx.gold, *metrics.last_weeks(ctx.gold, 12), "BU", 10)
@@ -266,7 +266,7 @@ PROFILE = " UNION ALL ".join(
 
 @check("audit_profile", f"SELECT section, item, round(value, 4) AS value FROM ({PROFILE}) p")
 def audit_profile(ctx):
-    return audit.profile(ctx.gold).withColumn("value", F.round("value", 4))
+    return audit.profile(ctx.gold, ctx.folder("profile")).withColumn("value", F.round("value", 4))
 
 
 @check("audit_categories", CATEGORY_DIST)

@@ -3,14 +3,13 @@
 from pyspark.sql import functions as F
 
 from checks.registry import END, START, check
+from checks.rules import EXACT_ROWS, KEYWORD_ROWS
 from saleslake.functions import dates, flags, ratios, taxonomy, text
-from saleslake.functions.fixed_values import OPSTUDY_NAMES
-from saleslake.functions.starter_taxonomy import EXACT, KEYWORDS
 from saleslake.operators import growth, silver, star
 from saleslake.operators.classify import classify_labels, map_category
 from saleslake.plans import metrics
 from saleslake.sources import catalog, feed
-from saleslake.sources.layers import GOLD_TABLES
+from saleslake.sources.layers import Layers
 
 
 def rows():
@@ -49,13 +48,12 @@ def src_parquet(ctx):
 
 @check(
     "src_literal",
-    """SELECT o.code, o.name, count(t.OPSTUDY_LABEL) AS row_count FROM opstudy_names o
-    LEFT JOIN tagged t ON o.code = t.OPSTUDY_LABEL GROUP BY o.code, o.name""",
+    """SELECT coalesce(o.name, t.OPSTUDY_LABEL) AS study, count(*) AS row_count
+    FROM tagged t LEFT JOIN opstudy_names o ON o.code = t.OPSTUDY_LABEL GROUP BY ALL""",
 )
 def src_literal(ctx):
-    names = ctx.spark.createDataFrame(list(OPSTUDY_NAMES.items()), "code string, name string")
-    seen = ctx.tagged.groupBy(col("OPSTUDY_LABEL").alias("code")).agg(rows())
-    return names.join(seen, "code", "left").fillna({"row_count": 0})
+    """The table of study names meets every tagged row."""
+    return silver.readable(ctx.tagged).groupBy(col("OPSTUDY_LABEL").alias("study")).agg(rows())
 
 
 QUARANTINED = """SELECT WEEK, PLN, PLN_LABEL, BU, PRODUCT_CATEGORY_LABEL, nullif(OPSTUDY_LABEL, '') AS OPSTUDY_LABEL,
@@ -72,24 +70,25 @@ def sink_silver(ctx):
     return ctx.lake.silver
 
 
-TABLE_SIZES = """SELECT 'fact_sales' AS table_name, count(*) AS row_count FROM fact_sales
-  UNION ALL SELECT 'dim_date', count(*) FROM dim_date
-  UNION ALL SELECT 'dim_product', count(*) FROM dim_product
-  UNION ALL SELECT 'dim_segment', count(*) FROM dim_segment"""
+TYPED_FACTS = "SELECT *, 'int,bigint,string,boolean,float' AS types FROM fact_sales"
 
 
-@check("sink_gold", TABLE_SIZES)
+def typed(df):
+    return df.withColumn("types", F.concat_ws(",", *[F.typeof(c) for c in df.columns]))
+
+
+@check("sink_gold", TYPED_FACTS)
 def sink_gold(ctx):
-    counted = [df.agg(F.lit(t).alias("table_name"), rows()) for t, df in ctx.gold.tables().items()]
-    return counted[0].unionAll(counted[1]).unionAll(counted[2]).unionAll(counted[3])
+    """The facts as they lie in their folder, with the types found there."""
+    return typed(ctx.spark.read.parquet(Layers(ctx.lake.base).gold("fact_sales")))
 
 
-@check("cat_register", TABLE_SIZES)
+@check("cat_register", TYPED_FACTS)
 def cat_register(ctx):
+    """The facts by way of the catalog, with the types declared there."""
     database = "lake_" + ctx.lake.base.rsplit("-", 1)[-1]
     catalog.create_tables(ctx.spark, ctx.lake.base, database)
-    counts = [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {database}.{t}" for t in GOLD_TABLES]
-    return catalog.run_sql(ctx.spark, " UNION ALL ".join(counts))
+    return typed(catalog.run_sql(ctx.spark, f"SELECT * FROM {database}.fact_sales"))
 
 
 @check("sql_run", f"SELECT * FROM weekly WHERE date BETWEEN DATE '{START}' AND DATE '{END}'")
@@ -202,9 +201,10 @@ def fn_narrow(ctx):
     return silver.narrow(ctx.valid)
 
 
-@check("fn_drop_cols", "SELECT DATE, PLN, ACTUAL, SEG, PROMO FROM valid")
+@check("fn_drop_cols", "SELECT * FROM silver")
 def fn_drop_cols(ctx):
-    return ctx.valid.drop(*silver.ATTRIBUTES, "WEEK", "ERROR_REASON")
+    """What the load drops is gone: the columns of silver are those of the SQL."""
+    return silver.to_silver(ctx.tagged, ctx.golden)
 
 
 @check(
@@ -304,10 +304,9 @@ def fn_category(ctx):
 
 
 def rule_tables(spark):
-    words = [(i, c, w) for i, (c, ws) in enumerate(KEYWORDS.items()) for w in ws]
     return (
-        spark.createDataFrame(list(EXACT.items()), "label string, category string"),
-        spark.createDataFrame(words, "priority int, category string, keyword string"),
+        spark.createDataFrame(EXACT_ROWS, "label string, category string"),
+        spark.createDataFrame(KEYWORD_ROWS, "priority int, category string, keyword string"),
     )
 
 
