@@ -40,63 +40,56 @@ def join_flat(gold: Gold) -> DataFrame:
     return joined.withColumnsRenamed(FLAT_NAMES).withColumn("promo", flags.promo_label(F.col("is_promo")))
 
 
-def _flat_parts(gold: Gold) -> list[tuple[DataFrame, list[str]]]:
-    """The flat columns as small tables ``(columns.., n)``: facts counted per key, then
-    joined to the dimension of that key."""
+def fact_counts(fact: DataFrame) -> DataFrame:
+    """Each distinct fact with its number ``n``: what most figures can be taken from."""
+    return fact.groupBy(*fact.columns).agg(rows().alias("n"))
 
-    def keyed(key: str, dimension: DataFrame) -> DataFrame:
-        return gold.fact.groupBy(key).agg(rows().alias("n")).join(dimension, key, "left").withColumnsRenamed(FLAT_NAMES)
 
-    def counted(column: str) -> DataFrame:
-        return gold.fact.groupBy(column).agg(rows().alias("n")).withColumnsRenamed(FLAT_NAMES)
+def weight(fact: DataFrame) -> Column:
+    """How many facts a row stands for."""
+    return F.col("n") if "n" in fact.columns else F.lit(1).cast("bigint")
 
-    promo = counted("is_promo").withColumn("promo", flags.promo_label(F.col("is_promo")))
-    parts = [
-        keyed("date_key", gold.dates),
-        keyed("pln_id", gold.products),
-        counted("segment_id"),
-        promo,
-        counted("actual_sales"),
-    ]
-    return [(p, [c for c in p.columns if c != "n"]) for p in parts]
+
+def _total(fact: DataFrame, condition: Column | None = None) -> Column:
+    """Facts, or those that meet a condition; 0 where there are none."""
+    n = weight(fact)
+    return F.coalesce(F.sum(n if condition is None else F.when(condition, n)), F.lit(0)).cast("bigint")
 
 
 def shape(gold: Gold) -> DataFrame:
     """Rows and columns of the flat view; its left joins on unique keys keep the facts."""
-    width = sum(len(columns) for _, columns in _flat_parts(gold))
-    return gold.fact.agg(rows().alias("row_count")).withColumn("column_count", F.lit(width).cast("bigint"))
-
-
-def column_counts(gold: Gold) -> DataFrame:
-    """``(column_name, known, value, n)``: facts per flat column and value. Only numeric
-    columns carry their values, the others just whether there is one."""
-    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-    def long(part: DataFrame, columns: list[str]) -> DataFrame:
-        kinds = dict(part.dtypes)
-
-        def cell(c: str) -> Column:
-            value = F.col(c).cast("double") if kinds[c] in numeric else F.lit(None).cast("double")
-            return F.struct(F.col(c).isNotNull().alias("known"), value.alias("value")).alias(c)
+    columns = [c for c in join_flat(gold).columns if c != "n"]
+    return gold.fact.agg(_total(gold.fact).alias("row_count")).withColumn(
+        "column_count", F.lit(len(columns)).cast("bigint")
+    )
 
-        cells = part.select("n", *map(cell, columns)).unpivot("n", columns, "column_name", "cell")
-        return cells.select("column_name", "cell.known", "cell.value", "n")
 
-    parts = _union([long(*part) for part in _flat_parts(gold)])
-    return parts.groupBy("column_name", "known", "value").agg(F.sum("n").alias("n"))
+def null_counts(gold: Gold) -> DataFrame:
+    """``(column_name, null_count)`` over the flat view, in one pass over the facts."""
+    flat = join_flat(gold)
+    columns = [c for c in flat.columns if c != "n"]
+    nulls = flat.agg(*[_total(flat, F.col(c).isNull()).alias(c) for c in columns])
+    return nulls.unpivot([], columns, "column_name", "null_count")
 
 
-def null_counts(gold: Gold) -> DataFrame:
-    """``(column_name, null_count)`` over the flat view."""
-    return _nulls(column_counts(gold))
+FACT_NUMBERS = {"date_key": "date_key", "pln_id": "pln", "actual_sales": "actual"}
 
 
-def _nulls(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("column_name").agg(_null_rows().alias("null_count"))
+def value_counts(fact: DataFrame) -> DataFrame:
+    """``(column_name, value, n)`` of the numbers in the facts, in one pass over them."""
+    numbers = [F.col(c).cast("double").alias(name) for c, name in FACT_NUMBERS.items()]
+    cells = fact.select(weight(fact).alias("n"), *numbers).unpivot("n", [*FACT_NUMBERS.values()], "column_name", "value")
+    return cells.groupBy("column_name", "value").agg(F.sum("n").alias("n"))
 
 
-def _null_rows() -> Column:
-    return F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0))
+def number_counts(counted: DataFrame, days: DataFrame) -> DataFrame:
+    """The same for all numbers of the flat view: those of the date table follow from the
+    counts of its key."""
+    numeric = [c for c, kind in days.dtypes if kind in ("tinyint", "smallint", "int", "bigint") and c != "date_key"]
+    keys = counted.filter("column_name = 'date_key'").select(F.col("value").cast("int").alias("date_key"), "n")
+    dated = keys.join(days, "date_key", "left").select("n", *[F.col(c).cast("double").alias(c) for c in numeric])
+    cells = dated.unpivot("n", numeric, "column_name", "value")
+    return counted.unionByName(cells.groupBy("column_name", "value").agg(F.sum("n").alias("n")))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -135,28 +128,34 @@ def cardinality(gold: Gold) -> DataFrame:
     )
 
 
-def placed(counted: DataFrame) -> DataFrame:
+def placed(counted: DataFrame, path: str) -> DataFrame:
     """The counts, written in ranges of value, each row with the number of its range.
     A range holds whole values of neighbouring size, so ranks can be summed over ranges
     and ordered inside them; no column is ever sorted in one task."""
     ranges = counted.repartitionByRange("column_name", "value")
-    return written(ranges.withColumn("bracket", F.spark_partition_id()), "column-counts")
+    return written(ranges.withColumn("bracket", F.spark_partition_id()), path)
 
 
-def describe(gold: Gold) -> DataFrame:
+def describe(gold: Gold, work: str) -> DataFrame:
     """Per numeric column: count, nulls, mean, standard deviation, least, quartiles and
-    greatest, all exact. The quartiles are values that occur, at the nearest rank."""
-    return describe_counts(placed(column_counts(gold)))
+    greatest, all exact. The quartiles are values that occur, at the nearest rank.
+
+    The facts are read once. The counts of their values are tables in the folder
+    ``work``, which the caller removes when the result has been read."""
+    counted = written(value_counts(gold.fact), f"{work}/values")
+    return describe_counts(placed(number_counts(counted, gold.dates), f"{work}/ranges"))
 
 
 def describe_counts(counted: DataFrame) -> DataFrame:
-    """Statistics of ``(column_name, known, value, n, bracket)``."""
+    """Statistics of ``(column_name, value, n, bracket)``. What is known of a whole column
+    (a few rows) meets the sums of its ranges first, then the ranges their values, so no
+    join is dealt by the few column names."""
     n, value = F.col("n"), F.col("value")
     summary = (
         counted.groupBy("column_name")
         .agg(
-            F.coalesce(F.sum(F.when(F.col("known"), n)), F.lit(0)).alias("row_count"),
-            _null_rows().alias("null_count"),
+            F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
             (F.sum(value * n) / F.sum(F.when(value.isNotNull(), n))).alias("mean"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
@@ -166,12 +165,13 @@ def describe_counts(counted: DataFrame) -> DataFrame:
     present = counted.filter(value.isNotNull())
     sums = present.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"))
     earlier = Window.partitionBy("column_name").orderBy("bracket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("column_name", "bracket", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
+    targets = summary.select("column_name", "row_count", "mean")
+    starts = sums.select("column_name", "bracket", before).join(targets, "column_name")
     within = F.sum("n").over(Window.partitionBy("column_name", "bracket").orderBy("value"))
     ranked = (
         present.withColumn("within", within)
         .join(starts, ["column_name", "bracket"])
-        .join(summary.select("column_name", "row_count", "mean"), "column_name")
         .withColumn("last_rank", F.col("before") + F.col("within"))
     )
 
@@ -261,37 +261,45 @@ def gap_summary(gold: Gold) -> DataFrame:
     return days.unionByName(combinations.select(F.lit("combinations_with_gaps").alias("item"), "value"))
 
 
-def profile(gold: Gold) -> DataFrame:
+def profile(gold: Gold, work: str) -> DataFrame:
     """Shape, nulls, duplicates, amounts of zero or less, statistics and cardinality as
-    one long table ``(section, item, value)``."""
+    one long table ``(section, item, value)``.
+
+    The facts are read once: each distinct fact with its number is a table in the folder
+    ``work`` (which the caller removes when the result has been read), and all figures
+    come from that."""
 
     def long(df: DataFrame, section: str) -> DataFrame:
         wide = df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])
         return wide.unpivot([], wide.columns, "item", "value").select(F.lit(section).alias("section"), "item", "value")
 
-    counted = placed(column_counts(gold))
-    nulls = _nulls(counted).select(
+    facts = written(fact_counts(gold.fact), f"{work}/facts")
+    counted = Gold(facts, gold.dates, gold.products, gold.segments)
+    nulls = null_counts(counted).select(
         F.lit("nulls").alias("section"),
         F.col("column_name").alias("item"),
         F.col("null_count").cast("double").alias("value"),
     )
-    stats = describe_counts(counted)
+    stats = describe(counted, work)
     figures = [c for c in stats.columns if c != "column_name"]
     described = (
         stats.select("column_name", *[F.col(c).cast("double").alias(c) for c in figures])
         .unpivot("column_name", figures, "figure", "value")
         .select(F.lit("describe").alias("section"), F.concat_ws(".", "column_name", "figure").alias("item"), "value")
     )
-    low = nonpositive(gold.fact).agg(rows().alias("nonpositive_rows"))
+    # Flat rows are equal exactly when their facts are.
+    sums = facts.agg(
+        _total(facts, F.col("n") > 1).alias("duplicate_rows"),
+        _total(facts, F.col("actual_sales") <= 0).alias("nonpositive_rows"),
+    )
     return _union(
         [
-            long(shape(gold), "shape"),
+            long(shape(counted), "shape"),
             nulls,
-            # Flat rows are equal exactly when their facts are.
-            long(duplicate_rows(gold.fact), "duplicates"),
-            long(low, "anomalies"),
+            long(sums.select("duplicate_rows"), "duplicates"),
+            long(sums.select("nonpositive_rows"), "anomalies"),
             described,
-            long(cardinality(gold), "cardinality"),
+            long(cardinality(counted), "cardinality"),
         ]
     )
 

@@ -1,8 +1,9 @@
 """Weekly series: sums, lags by rows, re-sums.
 
-Facts are summed by their keys first. A product or a week with a large part of all
-rows so becomes a few rows per task before any join or shuffle, and the joins to the
-dimensions work on sums in place of facts.
+Facts are summed by the few groups that are asked for, before any shuffle: where a
+group hangs on the product, the facts first meet the one or two product columns they
+need (Spark broadcasts these when they are small, and else splits a hot product), as
+date and product together are nearly the grain of the facts.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -52,22 +53,34 @@ def with_date(rows: DataFrame, gold: Gold) -> DataFrame:
     return rows.join(days, "date_key").drop("date_key")
 
 
-def weekly_sales(gold: Gold, until=None) -> DataFrame:
+def weeks_back(gold: Gold, start, weeks: int = YEAR_BACK) -> Column:
+    """Date key of the earliest of the last ``weeks`` dates before ``start``, or of
+    ``start``: every date in the date table has facts, so a lag needs no earlier ones."""
+    day = dates.as_date(start)
+    before = gold.dates.filter(F.col("full_date") < day).orderBy(F.desc("full_date")).limit(weeks)
+    return F.coalesce(before.agg(F.min("date_key")).scalar(), dates.date_key(day))
+
+
+def weekly_sales(gold: Gold, until=None, since_key: Column | None = None) -> DataFrame:
     """``(date, current_sales)``"""
-    by_key = in_range(gold.fact, end=until).groupBy("date_key").agg(sales().alias("current_sales"))
+    fact = in_range(gold.fact, end=until)
+    if since_key is not None:
+        fact = fact.filter(F.col("date_key") >= since_key)
+    by_key = fact.groupBy("date_key").agg(sales().alias("current_sales"))
     return with_date(by_key, gold).groupBy("date").agg(F.sum("current_sales").alias("current_sales"))
 
 
 def weekly_group_sales(gold: Gold, attribute: str, excluded=None, until=None) -> DataFrame:
     """``(date, grp, current_sales, promo_sales)`` by a product attribute."""
+    groups = not_in(gold.products.select("pln_id", F.col(attribute).alias("grp")), "grp", excluded)
     by_key = (
         in_range(gold.fact, end=until)
-        .groupBy("date_key", "pln_id")
+        .join(groups, "pln_id")
+        .groupBy("date_key", "grp")
         .agg(sales().alias("current_sales"), promo_sales().alias("promo_sales"))
     )
-    groups = not_in(gold.products.select("pln_id", F.col(attribute).alias("grp")), "grp", excluded)
     return (
-        with_date(by_key.join(groups, "pln_id"), gold)
+        with_date(by_key, gold)
         .groupBy("date", "grp")
         .agg(F.sum("current_sales").alias("current_sales"), F.sum("promo_sales").alias("promo_sales"))
     )

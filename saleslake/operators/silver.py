@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from saleslake.functions import fixed_values as fixed, text
 from saleslake.operators.cleaning import valid_rows
-from saleslake.sources.scratch import written
 
 ATTRIBUTES = ["PLN_LABEL", "BU", "PRODUCT_CATEGORY_LABEL", "OPSTUDY_LABEL"]
 
@@ -66,10 +65,9 @@ def narrow(rows: DataFrame) -> DataFrame:
 
 
 def to_silver(tagged: DataFrame, golden: DataFrame | None = None) -> DataFrame:
-    """Tagged rows to silver rows. Without a ``golden`` table one is written to the
-    scratch folder first."""
+    """Tagged rows to silver rows. Without a ``golden`` table the records are part of
+    the same plan."""
     valid = valid_rows(tagged)
-    if golden is None:
-        golden = written(golden_records(valid), "golden")
+    golden = golden_records(valid) if golden is None else golden
     rows = nullify_aliases(drop_copies(valid))
     return narrow(fill_gaps(readable(heal(rows, golden))))

@@ -5,27 +5,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from saleslake.functions.taxonomy import Taxonomy
 from saleslake.operators import cleaning, quality, silver, star
 from saleslake.operators.classify import RuleTables
-from saleslake.plans.sizing import widen_shuffles
 from saleslake.sources import layers
 from saleslake.sources.feed import read_feed
-from saleslake.sources.scratch import written
+from saleslake.sources.scratch import work_folder, written
 
 
 def load_silver(spark: SparkSession, feed_path: str, base: str) -> DataFrame:
-    """Feed to quarantine and silver; returns the tagged rows.
+    """Feed to quarantine and silver; returns one row of statistics.
 
-    The text is parsed once: tagged rows go to the scratch folder, one directory per
-    tag, and all later steps read only the directories and columns they need. Golden
-    records are a written table too (see ``silver.heal``).
+    The text is parsed once: tagged rows go to a work folder under the base path, one
+    directory per tag, and all later steps read only the directories and columns they
+    need. Golden records are a work table too (see ``silver.heal``). The folder is
+    removed at the end.
     """
-    widen_shuffles(spark, feed_path)
-    tagged = written(cleaning.clean(read_feed(spark, feed_path)), "tagged", partition_by="ERROR_REASON")
-    layers.together(
-        spark,
-        lambda: layers.write_quarantine(cleaning.quarantine_rows(tagged), base),
-        lambda: layers.write_silver(silver.to_silver(tagged), base),
-    )
-    return tagged
+    with work_folder(spark, base) as work:
+        tagged = written(cleaning.clean(read_feed(spark, feed_path)), f"{work}/tagged", partition_by="ERROR_REASON")
+        golden = written(silver.golden_records(cleaning.valid_rows(tagged)), f"{work}/golden")
+        layers.together(
+            spark,
+            lambda: layers.write_quarantine(cleaning.quarantine_rows(tagged), base),
+            lambda: layers.write_silver(silver.to_silver(tagged, golden), base),
+        )
+        stats = quality.drop_stats(tagged, spark.read.parquet(layers.Layers(base).silver))
+        row = stats.first()  # four numbers
+    return spark.createDataFrame([row], stats.schema)
 
 
 def load_gold(spark: SparkSession, base: str, variant: str = "same_day", rules=None) -> None:
@@ -42,10 +45,9 @@ def run(
     rules: Taxonomy | RuleTables | None = None,
 ) -> DataFrame:
     """Whole load; returns one row of statistics."""
-    tagged = load_silver(spark, feed_path, base)
+    stats = load_silver(spark, feed_path, base)
     load_gold(spark, base, variant, rules)
-    stored = spark.read.parquet(layers.Layers(base).silver)
-    return quality.drop_stats(tagged, stored)
+    return stats
 
 
 def quarantine_report(tagged: DataFrame) -> DataFrame:

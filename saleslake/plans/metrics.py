@@ -42,8 +42,9 @@ def last_weeks(gold: Gold, weeks: int, end=None) -> tuple:
 def weekly_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     """Sales per week with growth over the week and the year before. The range is
     applied after the lags, so its first week has a previous value; facts after the
-    end are never read, as lags only look back."""
-    weeks = growth.weekly_growth(growth.weekly_sales(gold, until=end))
+    end, or before the longest lag of the start, are never read."""
+    since = growth.weeks_back(gold, start) if start is not None else None
+    weeks = growth.weekly_growth(growth.weekly_sales(gold, until=end, since_key=since))
     return growth.between_dates(weeks, start, end).orderBy("date")
 
 
@@ -51,8 +52,8 @@ def top_metrics(gold: Gold, start, end, group: str, n: int = 10, exclude=None) -
     """The n groups with most sales, smallest first, with growth and promotion share."""
     if group not in GROUPS:
         raise ValueError(f"group must be one of {sorted(GROUPS)}, not {group!r}")
-    if not 1 <= n <= 100:
-        raise ValueError("n must be between 1 and 100")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     weekly = growth.weekly_group_sales(gold, GROUPS[group], exclude, until=end)
     lagged = growth.between_dates(growth.lagged_groups(weekly), start, end)
     ranked = growth.top_n(growth.period_growth(growth.period_sums(lagged)), n)
@@ -85,14 +86,15 @@ def promo_metrics(gold: Gold, start=None, end=None) -> DataFrame:
 
 def _by_category(gold: Gold, start, end, keys: list[str], excluded=None) -> DataFrame:
     """Sums by date, broad category and further fact columns."""
+    categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"))
+    categories = growth.not_in(categories, "product_category", excluded)
     sums = (
         growth.in_range(gold.fact, start, end)
-        .groupBy("date_key", "pln_id", *keys)
+        .join(categories, "pln_id")
+        .groupBy("date_key", "product_category", *keys)
         .agg(growth.sales().alias("actual"))
     )
-    categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"))
-    categories = growth.not_in(categories, "product_category", excluded)
-    return growth.with_date(sums.join(categories, "pln_id"), gold)
+    return growth.with_date(sums, gold)
 
 
 def promo_lift_metrics(gold: Gold, start=None, end=None) -> DataFrame:

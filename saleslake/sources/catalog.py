@@ -31,14 +31,19 @@ REPORT_NAMES = {
 def create_tables(spark: SparkSession, base: str, database: str) -> None:
     """External tables over the gold folders; existing ones are kept."""
     layers = Layers(base)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}/catalog'")
+    name = "`" + database.replace("`", "``") + "`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_literal(f'{base}/catalog')}")
     for table in GOLD_TABLES:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.{table} ({GOLD_COLUMNS[table]}) "
-            f"USING PARQUET LOCATION '{layers.gold(table)}'"
+            f"CREATE TABLE IF NOT EXISTS {name}.{table} ({GOLD_COLUMNS[table]}) "
+            f"USING PARQUET LOCATION {_literal(layers.gold(table))}"
         )
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_views(gold: Gold) -> None:
     for table, df in gold.tables().items():
         df.createOrReplaceTempView(table)

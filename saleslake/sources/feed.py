@@ -8,12 +8,14 @@ from saleslake.functions.fixed_values import FEED_SEPARATOR, PROMO_MARK
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """Feed with a header line and no quoting. Every column is read as text, so the
     result does not depend on type inference and needs no extra pass over the data;
-    short lines are padded with nulls."""
+    short lines are padded with nulls. A file whose header differs from the others'
+    is refused: its cells would land in wrong columns."""
     return (
         spark.read.option("sep", FEED_SEPARATOR)
         .option("header", True)
         .option("quote", "")
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)
         .csv(path)
     )
 

@@ -1,36 +1,32 @@
-"""Tables that cut lineage, written where every executor can read them back."""
+"""Work tables: they cut lineage, and lie in a folder that every executor reaches."""
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``. A temporary folder stands in
-    only where the setting is missing and the session runs in one local process."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="saleslake-")
-    return _LOCAL_ROOTS[context.applicationId]
 
+@contextmanager
+def work_folder(spark: SparkSession, base: str) -> Iterator[str]:
+    """A new folder under the caller's base path, removed at the end."""
+    path = f"{base}/work/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        remove(spark, path)
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path never used before."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Write the rows once and read them back: later plans start from files, lost
     executors cost a read, and the planner knows the size."""
-    path = scratch_path(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

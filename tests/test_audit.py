@@ -90,14 +90,14 @@ def test_gaps(gold):
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 100, 3000])
-def test_statistics_against_brute_force(spark, size):
+def test_statistics_against_brute_force(spark, folder, size):
     rng = random.Random(size)
     # A third of all amounts is one value.
     amounts = [7.5 if rng.random() < 0.33 else float(round(rng.gauss(0, 50), 1)) for _ in range(size)]
     facts = [(key(rng.choice(DAYS)), rng.randint(1, 3), "A", True, a) for a in amounts] + [(None, 1, "A", True, None)]
     gold = gold_of(spark, facts)
     stored = sorted(r[0] for r in gold.fact.select("actual_sales").dropna().collect())
-    row = one(audit.describe(gold).filter("column_name = 'actual'"))
+    row = one(audit.describe(gold, folder).filter("column_name = 'actual'"))
     mean = sum(stored) / size
     assert (row["row_count"], row["null_count"], row["min"], row["max"]) == (size, 1, stored[0], stored[-1])
     assert math.isclose(row["mean"], mean, abs_tol=1e-9)
@@ -109,8 +109,8 @@ def test_statistics_against_brute_force(spark, size):
         assert math.isclose(row["std"], math.sqrt(sum((x - mean) ** 2 for x in stored) / (size - 1)), rel_tol=1e-9)
 
 
-def test_profile_has_every_section(gold):
-    sections = {r["section"] for r in audit.profile(gold).collect()}
+def test_profile_has_every_section(gold, folder):
+    sections = {r["section"] for r in audit.profile(gold, folder).collect()}
     assert sections == {"shape", "nulls", "duplicates", "anomalies", "describe", "cardinality"}
 
 

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import connect, difference
+from checks.registry import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,12 +19,13 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, connection, name):
-    assert difference(entry.queries()[name](spark, SF_DIR), connection, entry.oracle_sql()[name]) == ""
+    assert difference(QUERIES[name](spark, SF_DIR), connection, ORACLE[name]) == ""
 
 
 def test_entry(spark):

@@ -6,7 +6,6 @@ from saleslake.plans import load
 from saleslake.sources import catalog
 from saleslake.sources.feed import read_feed, write_feed
 from saleslake.sources.layers import GOLD_COLUMNS, Gold, Layers
-from saleslake.sources.scratch import scratch_root
 from tests.rows import DIRTY, RAW, as_set, frame, one
 
 
@@ -65,9 +64,16 @@ def test_catalog(spark, feed, folder):
 
 
 def test_command_line(spark, feed, folder, capsys):
-    assert main([feed, f"{folder}/out"]) == 0
+    base = f"{folder}/out"
+    assert main(["load", feed, base]) == 0
     assert "silver_rows" in capsys.readouterr().out
-    assert main([f"{folder}/nowhere", f"{folder}/out"]) == 1
+    assert main(["load", f"{folder}/nowhere", base]) == 1
+    assert main(["audit", base]) == 0
+    assert "unique_plns" in capsys.readouterr().out
+    assert main(["parity", feed, "--copy", feed, "--base", base]) == 0
+    write_feed(read_feed(spark, feed).limit(1), f"{folder}/part")
+    assert main(["parity", feed, "--copy", f"{folder}/part"]) == 1
+    assert main(["parity", f"{folder}/part", "--base", base]) == 1
 
 
 def test_command_line_with_own_rules(spark, feed, folder):
@@ -75,7 +81,7 @@ def test_command_line_with_own_rules(spark, feed, folder):
     with open(exact, "w") as out:
         out.write('label,category\nCEREAL,"Food, dry"\n')
     spark.createDataFrame([(0, "Treats", "CHOC")], "priority int, category string, keyword string").write.parquet(words)
-    assert main([feed, f"{folder}/out", "--rules", exact, words]) == 0
+    assert main(["load", feed, f"{folder}/out", "--rules", exact, words]) == 0
     products = Gold.read(spark, f"{folder}/out").products
     assert as_set(products.select("pln_id", "broad_category")) == {(1001, "Treats"), (1002, "Food, dry")}
 
@@ -92,5 +98,17 @@ def test_parity(spark, feed, folder):
     assert not one(quality.gold_parity(rows, rows.union(rows)))["ok"]
 
 
-def test_scratch_follows_the_session(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+def test_files_with_another_header_are_refused(spark, folder):
+    for name, lines in (("1", ["A|B", "1|2"]), ("2", ["B|A", "2|1"])):
+        with open(f"{folder}/{name}.csv", "w") as out:
+            out.write("\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_feed(spark, folder).collect()
+
+
+def test_catalog_takes_any_path(spark, feed, folder):
+    base = f"{folder}/it's"
+    load.run(spark, feed, base)
+    catalog.create_tables(spark, base, "odd")
+    assert spark.table("`odd`.fact_sales").count() == 2
+    spark.sql("DROP DATABASE `odd` CASCADE")

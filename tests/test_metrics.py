@@ -72,15 +72,19 @@ def test_arguments_are_checked(gold):
     with pytest.raises(ValueError):
         metrics.top_metrics(gold, None, None, "pln_label; DROP TABLE x")
     with pytest.raises(ValueError):
-        metrics.top_metrics(gold, None, None, "BU", 101)
+        metrics.top_metrics(gold, None, None, "BU", 0)
     with pytest.raises(ValueError):
-        metrics.last_weeks(gold, 157)
+        metrics.last_weeks(gold, 0)
     with pytest.raises(ValueError):
         trends.sales_trend(gold, "daily")
     with pytest.raises(ValueError):
         trends.growth_trend(gold, "mom")
 
 
+def test_any_length_of_list_and_look_back(gold):
+    assert metrics.top_metrics(gold, *metrics.last_weeks(gold, 200), "PLN_LABEL", 500).count() == 2
+
+
 def test_last_weeks_has_both_ends(gold):
     start, end = metrics.last_weeks(gold, 2)
     assert [r["date"] for r in metrics.weekly_metrics(gold, start, end).collect()] == [week(57), week(58), week(59)]
