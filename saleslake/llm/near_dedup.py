@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.components import components
-from saleslake.llm.tables import written
+from saleslake.llm.tables import quoted, written
 from saleslake.llm.texts import mix, word_hashes
 
 BANDS = 20
@@ -297,9 +297,9 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     found = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows"))
     found = written(found.filter("NOT kept OR rows > 1"), "not_alone")
     repeated = found.filter("kept").select("doc_id")
-    rest = docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    rest = docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*quoted(docs.columns))
     if not repeated.take(1):
         return rest
-    of_repeated = docs.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    of_repeated = docs.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*quoted(docs.columns)).alias("row"))
     one = of_repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
     return rest.unionByName(one.select("row.*"))

@@ -17,7 +17,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from saleslake.llm.tables import with_computed
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
@@ -219,34 +221,28 @@ def pieces(path: str = PIECES) -> Pieces:
 
 def encode_texts(docs: DataFrame, path: str = PIECES, text: str = "text", into: str = "piece_ids") -> DataFrame:
     """The rows with the ids of their texts in ``into``; null for a null text, none for an empty one."""
-    kept = [c for c in docs.columns if c != into]
-    schema = docs.select(*kept).withColumn(into, F.lit(None).cast("array<int>")).schema
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            found = [None if t is None else x for t, x in zip(texts, pieces(path).encode(texts))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], [*kept, into])
+    def encode(column: pa.Array) -> pa.Array:
+        texts = column.to_pylist()
+        found = [None if t is None else x for t, x in zip(texts, pieces(path).encode(texts))]
+        return pa.array(found, pa.list_(pa.int32()))
 
-    return docs.select(*kept).mapInArrow(encode, schema)
+    return with_computed(docs, text, into, T.ArrayType(T.IntegerType()), encode)
 
 
 def decode_ids(rows: DataFrame, path: str = PIECES, ids: str = "piece_ids", into: str = "text") -> DataFrame:
     """The rows with the text of their ids in ``into``; null for null ids. Ids outside the
     vocabulary, null ones and control pieces have no text."""
-    kept = [c for c in rows.columns if c != into]
-    schema = rows.select(*kept).withColumn(into, F.lit(None).cast("string")).schema
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            model, size = pieces(path), len(pieces(path).bytes_of)
-            found = [
-                None if row is None else model.decode(np.array([i for i in row if i is not None and 0 <= i < size], dtype=np.int64))
-                for row in batch.column(ids).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*kept, into])
+    def decode(column: pa.Array) -> pa.Array:
+        model, size = pieces(path), len(pieces(path).bytes_of)
+        found = [
+            None if row is None else model.decode(np.array([i for i in row if i is not None and 0 <= i < size], dtype=np.int64))
+            for row in column.to_pylist()
+        ]
+        return pa.array(found, pa.string())
 
-    return rows.select(*kept).mapInArrow(decode, schema)
+    return with_computed(rows, ids, into, T.StringType(), decode)
 
 
 def piece_digests(docs: DataFrame, path: str = PIECES) -> DataFrame:

@@ -11,10 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from saleslake.llm.language_id import remainder
 from saleslake.llm.ngrams import code_points, hashed, shapes
+from saleslake.llm.tables import with_computed
 from saleslake.llm.texts import word_hashes
 
 BITS = 14
@@ -122,15 +123,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     """The rows with the chance of class 1 in ``into``. A null text counts as empty, and gets a
     score as any other; a column already named ``into`` is replaced."""
-    kept = [c for c in docs.columns if c != into]
-    schema = docs.select(*kept).withColumn(into, F.lit(0.0)).schema
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = pa.array([model.score(t.as_py()) for t in batch.column("text")], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*kept, into])
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
-    return docs.select(*kept).mapInArrow(score, schema)
+    return with_computed(docs, "text", into, T.DoubleType(), score)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

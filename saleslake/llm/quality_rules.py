@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from saleslake.llm.tables import small_side, written
+from saleslake.llm.tables import quoted, small_side, written
 
 SPACE = "[\\x20\\x09-\\x0D]"
 NO_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -155,7 +155,7 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     s = F.col("s")
     judged = written(
         docs.select(
-            F.struct(*carry).alias("kept_columns"),
+            F.struct(*quoted(carry)).alias("kept_columns"),
             F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
             F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
             text_stats(F.col("text")).alias("s"),

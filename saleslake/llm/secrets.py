@@ -7,9 +7,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from saleslake.llm.automaton import Rule, Scanner
+from saleslake.llm.tables import with_computed
 
 BASE = [
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=-]", 6, True),
@@ -25,7 +26,6 @@ MORE = [
 ]
 RULES = BASE + MORE
 CHUNK = 4_000_000
-SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
 @cache
@@ -59,17 +59,14 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secret_spans"
     Null and empty texts have none. Every row is looked at alone: repeated rows repeat their
     spans, an empty table stays empty. A column already named ``into`` is replaced.
     """
-    kept = [c for c in docs.columns if c != into]
-    schema = docs.select(*kept).withColumn(into, F.lit(None).cast(SPANS)).schema
+    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = spans_of([t or "" for t in batch.column(text).to_pylist()])
-            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, arrow)], [*kept, into])
+    def scan(texts: pa.Array) -> pa.Array:
+        spans = spans_of([t or "" for t in texts.to_pylist()])
+        return pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], arrow)
 
-    return docs.select(*kept).mapInArrow(scan, schema)
+    return with_computed(docs, text, into, T.ArrayType(span), scan)
 
 
 def span_digests(docs: DataFrame) -> DataFrame:
@@ -102,24 +99,21 @@ def masked(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataF
 
     A null text stays null. ``n_chars``, where it is there, follows the new text.
     """
-    schema = docs.schema
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            for i, spans in enumerate(spans_of([t or "" for t in texts])):
-                if spans:
-                    parts, at = [], 0
-                    for _, start, end in spans:
-                        if start >= at:
-                            parts += [texts[i][at:start], mask]
-                        at = max(at, end)
-                    texts[i] = "".join([*parts, texts[i][at:]])
-            columns = list(batch.columns)
-            columns[batch.schema.get_field_index(text)] = pa.array(texts, batch.column(text).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    out = docs.mapInArrow(clean, schema)
+    def clean(column: pa.Array) -> pa.Array:
+        texts = column.to_pylist()
+        for i, spans in enumerate(spans_of([t or "" for t in texts])):
+            if spans:
+                parts, at = [], 0
+                for _, start, end in spans:
+                    if start >= at:
+                        parts += [texts[i][at:start], mask]
+                    at = max(at, end)
+                texts[i] = "".join([*parts, texts[i][at:]])
+        return pa.array(texts, pa.string())
+
+    out = with_computed(docs, text, text, T.StringType(), clean)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text).cast(schema["n_chars"].dataType)))
+        counted = F.length(text).cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(text).isNull(), F.col("n_chars")).otherwise(counted))
     return out

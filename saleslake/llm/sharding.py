@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from saleslake.llm.tables import written
+from saleslake.llm.tables import quoted, written
 
 LIMIT = 64 << 20
 CELL_BITS = 16
@@ -78,7 +78,7 @@ def shard(rows: DataFrame, key: str, size: Column, carry: list[str], limit: int
     place = F.monotonically_increasing_id().cast("string")
     table = written(
         rows.select(
-            F.struct(*carry).alias("kept_columns"),
+            F.struct(*quoted(carry)).alias("kept_columns"),
             key_bits(F.col(key)).alias("key"),
             F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("bytes"),
             place.alias("place"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Tables of at most so many short rows are broadcast.
 BROADCAST_ROWS = 50_000
@@ -36,8 +38,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their whole names, which may hold dots."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def small_side(df: DataFrame, name: str) -> DataFrame:
     """A table of short rows, written and counted: few are broadcast, so that the rows they are
     joined to stay where they are; else Spark joins them as it sees fit, splitting hot keys."""
     table = written(df, name)
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def with_computed(df: DataFrame, source: str, into: str, kind: T.DataType, compute: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """The rows with ``into`` computed from ``source``, batch by batch: in its place, or at the end.
+
+    The other columns ride along in a struct that no step touches, so their names may be any.
+    """
+    packed = df.select(F.struct(*quoted(df.columns)).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column("row")
+            yield pa.RecordBatch.from_arrays([rows, compute(rows.field(source))], ["row", "made"])
+
+    made = packed.mapInArrow(run, T.StructType([*packed.schema.fields, T.StructField("made", kind)]))
+    names = df.columns if into in df.columns else [*df.columns, into]
+    return made.select(*[(F.col("made") if n == into else F.col("row").getField(n)).alias(n) for n in names])

@@ -7,13 +7,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, verdict string, "
-    "shard string, spans string, n_words string, piece_ids string, secret_spans string, kept_columns string, file string"
+    "shard string, spans string, n_words string, piece_ids string, secret_spans string, kept_columns string, file string, `a.b` string, row string"
 )
 LONG = "Lorem ipsum token = abcdef123456 dolor. " * 6000
 
 
 def odd_rows():
-    extra = ("x",) * 10
+    extra = ("x",) * 12
     rows = [
         (None, "a text without id, password: hunter2hunter2", "en", "s", 1),
         (None, None, None, None, None),
