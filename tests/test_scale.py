@@ -7,6 +7,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from checks import relational, reports_and_loads, sources_and_functions  # noqa: F401  (register)
 from checks.lake import Lake, check_folder
 from checks.registry import QUERIES
 from saleslake.operators import audit, growth, silver, star
