@@ -120,7 +120,31 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
-@query("op3_minhash_near_dedup")
+@query(
+    "op3_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+      FROM words
+    ), shingles AS (
+      SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+    ), links AS (
+      SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reached AS (
+      SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+    ), least AS (
+      SELECT x, min(y) AS y FROM reached GROUP BY x
+    )
+    SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+           doc_id <= coalesce(y, doc_id) AS kept
+    FROM sets LEFT JOIN least ON x = doc_id
+    """,
+)
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
