@@ -144,24 +144,25 @@ def thresholds(sketch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return _fences(sketch, ["lang", "source"], "source"), _fences(sketch, ["lang"], "lang"), _fences(sketch, [], "all")
 
 
-def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
+def judge(docs: DataFrame, carry: list[str], store: bool) -> DataFrame:
     """Structs ``kept_columns`` (those carried) and ``verdict`` (STATS, base_failed, kept).
 
     A null or empty text has no words and fails. A null language or source is a group of its own
     (as the empty name). Repeated rows count as often as they occur; an empty table stays empty.
-    Carried columns are packed away meanwhile, so their names may be any. The counts are written
-    once: sketches and verdicts both read that table.
+    Carried columns are packed away meanwhile, so their names may be any. Sketches and verdicts
+    both need the counts: with ``store`` they are written with the carried columns (best when
+    those are short), else the texts are counted twice, which needs no second copy of them.
     """
     s = F.col("s")
-    judged = written(
-        docs.select(
-            F.struct(*quoted(carry)).alias("kept_columns"),
-            F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-            F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-            text_stats(F.col("text")).alias("s"),
-        ),
-        "quality",
-    ).withColumns({"base_failed": _base_failed(s), "ratios": _ratios(s)})
+    counted = docs.select(
+        F.struct(*quoted(carry)).alias("kept_columns"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        text_stats(F.col("text")).alias("s"),
+    )
+    judged = (written(counted, "quality") if store else counted).withColumns(
+        {"base_failed": _base_failed(s), "ratios": _ratios(s)}
+    )
     by_source, by_lang, of_all = thresholds(written(sketches(judged), "sketches"))
     widest = of_all.first()["bounds_all"]  # five numbers; null where no text passed the base rules
     last = F.struct(*(F.lit(None if widest is None else widest[m]).cast("long").alias(m) for m in [*SLACK, "short"]))
@@ -179,9 +180,9 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
     """``doc_id``, the counts, ``base_failed`` and ``kept`` of every row of documents."""
-    return judge(docs, ["doc_id"]).select("kept_columns.doc_id", "verdict.*")
+    return judge(docs, ["doc_id"], store=True).select("kept_columns.doc_id", "verdict.*")
 
 
 def drop_low_quality(docs: DataFrame) -> DataFrame:
     """The rows that are kept, with their columns as they came."""
-    return judge(docs, docs.columns).filter("verdict.kept").select("kept_columns.*")
+    return judge(docs, docs.columns, store=False).filter("verdict.kept").select("kept_columns.*")
