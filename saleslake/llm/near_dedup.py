@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.components import components
-from saleslake.llm.tables import quoted, written
+from saleslake.llm.tables import quoted, small_side, written
 from saleslake.llm.texts import mix, word_hashes
 
 BANDS = 20
@@ -29,6 +29,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
 #: At a similarity of 0.85 fewer than one pair in a million is estimated below.
 LEAST_ESTIMATE = 0.6
+#: Lists of at most so many ids are broadcast (8 bytes each, under 32 MB as a hash table).
+BROADCAST_IDS = 1_000_000
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
 _MIXES = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -215,7 +217,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     hopeful = written(_hopeful(pairs.join(side("a"), "a").join(side("b"), "b")).distinct(), "pairs")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
-    full = written(_sets(docs, ids, width), "sets")
+    full = written(_sets(docs, small_side(ids, "ids", BROADCAST_IDS), width), "sets")
 
     def set_of(name: str) -> DataFrame:
         return full.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set"))
@@ -297,7 +299,7 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     found = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows"))
     found = written(found.filter("NOT kept OR rows > 1"), "not_alone")
     repeated = found.filter("kept").select("doc_id")
-    rest = docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*quoted(docs.columns))
+    rest = docs.join(small_side(found.select("doc_id"), "not_alone", BROADCAST_IDS), "doc_id", "left_anti").select(*quoted(docs.columns))
     if not repeated.take(1):
         return rest
     of_repeated = docs.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*quoted(docs.columns)).alias("row"))

@@ -43,11 +43,11 @@ def quoted(names: list[str]) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]
 
 
-def small_side(df: DataFrame, name: str) -> DataFrame:
+def small_side(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A table of short rows, written and counted: few are broadcast, so that the rows they are
     joined to stay where they are; else Spark joins them as it sees fit, splitting hot keys."""
     table = written(df, name)
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 def with_computed(df: DataFrame, source: str, into: str, kind: T.DataType, compute: Callable[[pa.Array], pa.Array]) -> DataFrame:
