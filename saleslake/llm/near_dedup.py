@@ -13,7 +13,9 @@ its members are compared in blocks of bounded size that give only the links need
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +25,32 @@ from saleslake.llm.components import components
 from saleslake.llm.tables import quoted, small_side, written
 from saleslake.llm.texts import mix, word_hashes
 
-BANDS = 20
 ROWS = 4  # registers in a band
-REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
-#: At a similarity of 0.85 fewer than one pair in a million is estimated below.
-LEAST_ESTIMATE = 0.6
+#: Chance that a pair just at the wanted similarity meets in no band.
+MISSED = 1e-6
+#: Estimates may lie so many standard deviations below the wanted similarity.
+DEVIATIONS = 5.5
 #: Lists of at most so many ids are broadcast (8 bytes each, under 32 MB as a hash table).
 BROADCAST_IDS = 1_000_000
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
-_MIXES = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def bands_for(percent: int) -> int:
+    """Bands enough to find pairs of that similarity: 19 at 85 percent, 27 at 80."""
+    return max(1, math.ceil(math.log(MISSED) / math.log(max(1 - (percent / 100) ** ROWS, 1e-9))))
+
+
+def least_estimate(percent: int) -> float:
+    """Pairs estimated below are not verified."""
+    share = percent / 100
+    return share - DEVIATIONS * math.sqrt(share * (1 - share) / (bands_for(percent) * ROWS))
+
+
+@cache
+def _mixes(count: int) -> np.ndarray:
+    return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -49,12 +66,12 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(mix(total))
 
 
-def registers(hashes: np.ndarray) -> np.ndarray:
+def registers(hashes: np.ndarray, count: int) -> np.ndarray:
     """Leading zeros and mantissa of the least hash per bucket, 16 bits each."""
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), 2048):
         part = hashes[at : at + 2048]
-        np.minimum(least, (part[None, :] * _MIXES[:, None]).min(axis=1), out=least)
+        np.minimum(least, (part[None, :] * _mixes(count)[:, None]).min(axis=1), out=least)
     fraction, exponent = np.frexp(least.astype(np.float64))
     mantissa = np.minimum((fraction * 2 - 1) * (1 << MANTISSA_BITS), (1 << MANTISSA_BITS) - 1)
     zeros = np.clip(64 - exponent, 0, 63)
@@ -70,13 +87,13 @@ def _chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total / (1 << MANTISSA_BITS)
 
 
-def estimates(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def estimates(share: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Similarity from the share of equal registers."""
     c = _chance(n, m)
-    return (equal / REGISTERS - c) / (1 - c)
+    return (share - c) / (1 - c)
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, bands_of: int) -> DataFrame:
     """``doc_id, n, digest_a, digest_b, bands`` of every row. The digests are sums over the set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +104,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 n.append(len(found))
                 a.append(int(mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                 b.append(int(mix(found ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).astype(np.int64)))
-                bands.append(registers(found).view(np.int64) if len(found) else None)
+                bands.append(registers(found, bands_of * ROWS).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 ["doc_id", "n", "digest_a", "digest_b", "bands"],
@@ -111,18 +128,18 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 def _registers_of(column) -> np.ndarray:
     flat = np.asarray(column.flatten() if isinstance(column, pa.Array) else column.combine_chunks().flatten(), dtype=np.int64)
-    return flat.view(np.uint16).reshape(len(column), REGISTERS)
+    return flat.view(np.uint16).reshape(len(column), -1)
 
 
-def _hopeful(pairs: DataFrame) -> DataFrame:
+def _hopeful(pairs: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose registers don't rule them out; those come as ``a_bands, b_bands``."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                equal = (_registers_of(batch.column("a_bands")) == _registers_of(batch.column("b_bands"))).sum(axis=1)
+                share = (_registers_of(batch.column("a_bands")) == _registers_of(batch.column("b_bands"))).mean(axis=1)
                 n, m = (np.asarray(batch.column(c), dtype=np.float64) for c in ("a_n", "b_n"))
-                yield batch.filter(pa.array(estimates(equal, n, m) >= LEAST_ESTIMATE)).select(["a", "b"])
+                yield batch.filter(pa.array(estimates(share, n, m) >= least)).select(["a", "b"])
 
     return pairs.mapInArrow(keep, "a long, b long")
 
@@ -148,7 +165,7 @@ def _intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray
     return out
 
 
-def _block_links(table: pa.Table, percent: int) -> pa.Table:
+def _block_links(table: pa.Table, percent: int, least: float) -> pa.Table:
     """Links between components within one pair of blocks of a band group, no more than join them."""
     ids, comp, band = (np.asarray(table[c]) for c in ("id", "component", "band"))
     n = np.asarray(table["n"], dtype=np.float64)
@@ -158,12 +175,12 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     rows = np.flatnonzero(block == one[0])
     columns = np.flatnonzero(block == two[0])
     equal = np.zeros((len(rows), len(columns)), dtype=np.int32)
-    for i in range(REGISTERS):
+    for i in range(regs.shape[1]):
         equal += regs[rows, i][:, None] == regs[columns, i][None, :]
     open_pairs = comp[rows][:, None] != comp[columns][None, :]
     for b in range(int(band[0])):  # pairs that share an earlier band are compared there
         open_pairs &= keys[rows, b][:, None] != keys[columns, b][None, :]
-    open_pairs &= estimates(equal, n[rows][:, None], n[columns][None, :]) >= LEAST_ESTIMATE
+    open_pairs &= estimates(equal / regs.shape[1], n[rows][:, None], n[columns][None, :]) >= least
     links: list[tuple[int, int]] = []
     if open_pairs.any():
         rows, columns = rows[open_pairs.any(axis=1)], columns[open_pairs.any(axis=0)]
@@ -197,7 +214,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     empty text, or one without words, is linked with nothing. Rows that share an id are one node:
     a link of one is a link of all. A row without id has no component and null ``kept``.
     """
-    sketch = written(sketches(docs, width), "sketches")
+    least = least_estimate(percent)
+    sketch = written(sketches(docs, width, bands_for(percent)), "sketches")
     classes = written(
         sketch.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("n", "digest_a", "digest_b")
@@ -215,7 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return nodes.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("bands").alias(f"{name}_bands"))
 
     pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    hopeful = written(_hopeful(pairs.join(side("a"), "a").join(side("b"), "b")).distinct(), "pairs")
+    hopeful = written(_hopeful(pairs.join(side("a"), "a").join(side("b"), "b"), least).distinct(), "pairs")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     full = written(_sets(docs, small_side(ids, "ids", BROADCAST_IDS), width), "sets")
 
@@ -245,7 +263,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rich = met.join(nodes, "id").join(full.withColumnRenamed("doc_id", "id"), "id")
 
     def links(table: pa.Table) -> pa.Table:
-        return _block_links(table, percent)
+        return _block_links(table, percent, least)
 
     rest = rich.groupBy("band", "key", "one", "two").applyInArrow(links, "a long, b long")
     label = first.withColumnRenamed("id", "of")

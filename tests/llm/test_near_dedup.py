@@ -56,8 +56,8 @@ def test_estimates_follow_similarity():
             common = [rng.getrandbits(60) for _ in range(int(400 * share))]
             a, b = (common + [rng.getrandbits(60) for _ in range(400 - len(common))] for _ in "ab")
             true = len(set(a) & set(b)) / len(set(a) | set(b))
-            equal = (registers(np.array(a, dtype=np.uint64)) == registers(np.array(b, dtype=np.uint64))).sum()
-            errors.append(float(estimates(np.array([equal]), np.array([400.0]), np.array([400.0]))[0]) - true)
+            same = (registers(np.array(a, dtype=np.uint64), 80) == registers(np.array(b, dtype=np.uint64), 80)).mean()
+            errors.append(float(estimates(np.array([same]), np.array([400.0]), np.array([400.0]))[0]) - true)
         assert abs(np.mean(errors)) < 0.03 and np.max(np.abs(errors)) < 0.25
 
 
