@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.ngrams import code_points, hashed, letters
-from saleslake.llm.tables import small_side
+from saleslake.llm.tables import slices, small_side
 
 BITS = 12
 ORDERS = (1, 2, 3)
@@ -139,8 +139,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``und`` with score 0. Other columns play no part, whatever their names."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lang, score, rejected = zip(*model.predict(batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
+        for batch in slices(batches):
+            lang, score, rejected = zip(*model.predict(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["doc_id", "lang_pred", "score", "rejected"],

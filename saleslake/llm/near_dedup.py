@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.components import components
-from saleslake.llm.tables import quoted, small_side, written
+from saleslake.llm.tables import quoted, slices, small_side, written
 from saleslake.llm.texts import mix, word_hashes
 
 ROWS = 4  # registers in a band
@@ -97,7 +97,7 @@ def sketches(docs: DataFrame, width: int, bands_of: int) -> DataFrame:
     """``doc_id, n, digest_a, digest_b, bands`` of every row. The digests are sums over the set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, a, b, bands = [], [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), width)
@@ -118,7 +118,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``doc_id, shingles`` of the documents named in ``ids``, from their texts."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingles(t.as_py(), width).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 

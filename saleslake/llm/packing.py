@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from saleslake.llm.tables import written
+from saleslake.llm.tables import slices, written
 from saleslake.llm.tokens import BYTE_BPE, encode
 
 CAPACITY = 2048
@@ -52,14 +52,14 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, rows = batch.column("doc_id").to_pylist(), []
             for doc_id, text in zip(ids, batch.column("text")):
                 tokens = np.append(encode(text.as_py(), path), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(tokens), capacity):
                     piece = tokens[start : start + capacity]
                     rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(tokens)))
-            columns = zip(*rows) if rows else [[]] * 5
+            columns = zip(*rows)
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 

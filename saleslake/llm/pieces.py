@@ -19,7 +19,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from saleslake.llm.tables import with_computed
+from saleslake.llm.tables import slices, with_computed
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
@@ -252,14 +252,13 @@ def piece_digests(docs: DataFrame, path: str = PIECES) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
-            for at in range(0, batch.num_rows, 512):
-                texts = [t or "" for t in batch.column("text").slice(at, 512).to_pylist()]
-                for text, ids in zip(texts, model.encode(texts)):
-                    back = model.decode(ids)
-                    rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(back.encode("utf-8", "replace")), back == text))
-            n, crc, text_crc, same = zip(*rows) if rows else ((), (), (), ())
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for text, ids in zip(texts, model.encode(texts)):
+                back = model.decode(ids)
+                rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(back.encode("utf-8", "replace")), back == text))
+            n, crc, text_crc, same = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, crc, text_crc)), pa.array(same, pa.bool_())],
                 ["doc_id", "n_ids", "ids_crc32", "text_crc32", "round_trip"],

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from saleslake.llm.automaton import Rule, Scanner
-from saleslake.llm.tables import with_computed
+from saleslake.llm.tables import slices, with_computed
 
 BASE = [
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=-]", 6, True),
@@ -77,7 +77,7 @@ def span_digests(docs: DataFrame) -> DataFrame:
         return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = spans_of([t or "" for t in batch.column("text").to_pylist()])
             of_base = [[x for x in row if x[0] in base] for row in spans]
             yield pa.RecordBatch.from_arrays(

@@ -50,6 +50,13 @@ def small_side(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_computed(df: DataFrame, source: str, into: str, kind: T.DataType, compute: Callable[[pa.Array], pa.Array]) -> DataFrame:
     """The rows with ``into`` computed from ``source``, batch by batch: in its place, or at the end.
 
@@ -58,7 +65,7 @@ def with_computed(df: DataFrame, source: str, into: str, kind: T.DataType, compu
     packed = df.select(F.struct(*quoted(df.columns)).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.column("row")
             yield pa.RecordBatch.from_arrays([rows, compute(rows.field(source))], ["row", "made"])
 
