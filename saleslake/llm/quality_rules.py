@@ -115,10 +115,10 @@ def _bucket(value: Column) -> Column:
 def sketches(judged: DataFrame) -> DataFrame:
     """``lang, source, metric, bucket, n``: one mergeable sketch per group and ratio."""
     metrics = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col("ratios")[m].alias("value")) for m in SLACK)))
-    rows = judged.filter(~F.col("base_failed")).select("lang", "source", metrics.alias("m"))
-    return rows.groupBy("lang", "source", F.col("m.metric").alias("metric"), _bucket(F.col("m.value")).alias("bucket")).agg(
-        F.count("*").alias("n")
-    )
+    # Counted by condition: a filter on the texts' counts would be moved below them and count twice.
+    rows = judged.select("lang", "source", "base_failed", metrics.alias("m"))
+    counted = rows.groupBy("lang", "source", F.col("m.metric").alias("metric"), _bucket(F.col("m.value")).alias("bucket"))
+    return counted.agg(F.count_if(~F.col("base_failed")).alias("n")).filter("n > 0")
 
 
 def _fences(sketch: DataFrame, keys: list[str], suffix: str) -> DataFrame:
@@ -173,7 +173,8 @@ def judge(docs: DataFrame, carry: list[str], store: bool) -> DataFrame:
     inside = (r["length"] <= b["length"]) & (r["length"] >= b["short"])
     for metric in ("symbols", "dup_lines", "repeats"):
         inside = inside & (r[metric] <= b[metric])
-    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
+    # The least of two numbers, so that neither half is moved below the join and counted again.
+    kept = F.least((~F.col("base_failed")).cast("int"), F.coalesce(inside, F.lit(True)).cast("int")) == 1
     verdict = F.struct(*(s[c].alias(c) for c in STATS), F.col("base_failed"), kept.alias("kept"))
     return joined.select("kept_columns", verdict.alias("verdict"))
 
