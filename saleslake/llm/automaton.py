@@ -154,7 +154,7 @@ class Scanner:
         table, marks = _minimised(*_subsets(nfa, nfa.closure(starts), accepts, True))
         self.states = len(table)
         self.table = table.astype(np.uint16)
-        self.marks = marks
+        self.marks = marks.astype(np.min_scalar_type(int(marks.max())))
 
     @staticmethod
     def _backward(head, fold: bool) -> tuple[list[list[int]], list[bool]]:

@@ -35,6 +35,7 @@ DEVIATIONS = 5.5
 BROADCAST_IDS = 1_000_000
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
+SLICE = 2048  # shared shingles that one matrix product takes
 
 
 def bands_for(percent: int) -> int:
@@ -157,9 +158,9 @@ def _intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray
     out = np.zeros((len(rows), len(columns)), dtype=np.int64)
     r, c = np.searchsorted(used, rows), np.searchsorted(used, columns)
     total = int(place[-1]) + 1 if len(place) else 0
-    for at in range(0, total, 8192):
-        low, high = np.searchsorted(place, [at, at + 8192])
-        held = np.zeros((len(used), 8192), dtype=np.float32)
+    for at in range(0, total, SLICE):
+        low, high = np.searchsorted(place, [at, at + SLICE])
+        held = np.zeros((len(used), SLICE), dtype=np.float32)
         held[owner[low:high], place[low:high] - at] = 1
         out += (held[r] @ held[c].T).astype(np.int64)  # below 2**24, so exact
     return out
