@@ -7,11 +7,13 @@ stitches the documents that run across block boundaries.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from saleslake.llm.tables import work_path, written
@@ -20,63 +22,120 @@ from saleslake.llm.tokens import BYTE_BPE, encode
 SEPARATOR = 50256
 BLOCK_IDS = 1 << 16
 SEGMENT = 1024  # blocks that one step of the prefix scan adds up
+#: Bytes of a file that one task reads in a row, and the most tasks that ranges are dealt to.
+RANGE_BYTES = 16 << 20
+RANGE_TASKS = 20_000
+BLOCKS = "file string, block long, data binary"
+LINES = "ISO-8859-1"  # any two bytes are a line separator
+
+
+def _opened(path: str) -> pa.NativeFile:
+    """A file by the path that Spark lists it under, for reads at any place."""
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    store, at = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{quote(rest, safe='/:@')}")
+    return store.open_input_file(at)
 
 
 def flat_blocks(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
     """``file, block, data`` of the flat files in a folder, by any path that Spark reads."""
+    return _blocks_of(spark.read.format("binaryFile").load(path).select("path", "length"), block_ids)
+
+
+def _blocks_of(files: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """``file, block, data`` of the files listed as ``path, length``, of any length: tasks read byte
+    ranges. A store that only Spark opens is read by Spark."""
+    first, step = files.filter("length > 0").first(), 2 * block_ids
+    if first:
+        try:
+            _opened(first.path).close()
+        except (OSError, pa.ArrowException):
+            return _blocks_by_spark(files, step)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, length, begin, end in zip(*(c.to_pylist() for c in batch.columns)):
+                with _opened(path) as file:
+                    for block in range(begin, end):
+                        size = min(step, length - block * step)
+                        file.seek(block * step)
+                        data = file.read(size)
+                        if len(data) < size:
+                            raise OSError(f"{path} ends within block {block}, before its {length} bytes")
+                        row = [pa.array([path]), pa.array([block]), pa.array([data], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(row, ["file", "block", "data"])
+
+    n, each = F.ceil(F.col("length") / step), max(1, RANGE_BYTES // step)
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), n - 1, F.lit(each).cast("long"))).alias("begin")
+    ranges = files.filter("length > 0").select("path", "length", begin, n.alias("n"))
+    ranges = ranges.select("path", "length", "begin", F.least(F.col("begin") + each, "n").alias("end"))
+    tasks = min(max(ranges.count(), 1), RANGE_TASKS)  # a number, or Spark merges the short rows into few tasks
+    return ranges.repartition(tasks).mapInArrow(read, BLOCKS)
+
+
+def _blocks_by_spark(files: DataFrame, step: int) -> DataFrame:
+    """The same by Spark's readers alone: short files whole, each long one as records of the largest
+    even size that divides its length, as Spark reads no shorter last record."""
+    spark = files.sparkSession
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("path"), batch.column("content")):
-                data, step = memoryview(content.as_buffer()), 2 * block_ids
+                data = memoryview(content.as_buffer())
                 for at in range(0, len(data), step):
                     row = [pa.array([file.as_py()]), pa.array([at // step]), pa.array([bytes(data[at : at + step])], pa.binary())]
                     yield pa.RecordBatch.from_arrays(row, ["file", "block", "data"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(cut, "file string, block long, data binary")
-
-
-def token_files(docs: DataFrame, path: str = BYTE_BPE, separator: int = SEPARATOR, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """``file, block, data`` and, with null data, ``file, ordinal, doc_id``: the ids of every task's
-    documents in one flat row, each document ended by the separator, cut into blocks of equal
-    length; and which document lies where. A null text has no ids."""
+    def escaped(path: str) -> str:
+        return re.sub(r"([\\{}\[\]*?])", r"\\\1", path).replace(",", "{\\,}")
+
+    # Listed anew with their content, which Spark reads of files that pass the filter on length only.
+    short = files.filter(F.col("length").between(1, RANGE_BYTES))
+    folders = [r[0] for r in short.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()]
+    found = spark.createDataFrame([], BLOCKS)
+    if folders:
+        whole = spark.read.format("binaryFile").load([escaped(f) for f in folders]).filter(F.col("length").between(1, RANGE_BYTES))
+        whole = whole.select("path", "content").join(short.select("path"), "path", "left_semi")
+        found = found.unionByName(whole.mapInArrow(cut, BLOCKS))
+    for path, length in files.filter(F.col("length") > RANGE_BYTES).collect():
+        if length % 2:
+            raise ValueError(f"{path} holds {length} bytes, no row of 16-bit ids")
+        size = max(d for d in range(2, step + 1, 2) if length % d == 0)
+        records = spark.sparkContext.newAPIHadoopFile(
+            escaped(path), "org.apache.spark.input.FixedLengthBinaryInputFormat",
+            "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.BytesWritable",
+            conf={"org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(size)},
+        )
+        found = found.unionByName(spark.createDataFrame(records.map(lambda r, path=path: (path, r[0], bytes(r[1]))), BLOCKS))
+    return found
+
+
+def write_token_files(docs: DataFrame, folder: str, path: str = BYTE_BPE, separator: int = SEPARATOR) -> None:
+    """Flat files ``kind=0/part-...`` of every task's documents, each document ended by the separator;
+    and under the same name in ``kind=1`` the ``ordinal,doc_id`` of each. A null text has no ids."""
+    ends = int(separator).to_bytes(2, "little")
+    if not set(ends) - set(b"0123456789,-"):
+        raise ValueError("the separator may not be in the list of documents")
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file = f"part-{TaskContext.get().partitionId():06d}"
-        rest, block, ordinal = np.zeros(0, dtype="<u2"), 0, 0
-        names = ["file", "block", "data", "ordinal", "doc_id"]
-
-        def rows(data: list[bytes], ids) -> pa.RecordBatch:
-            n, m = len(data), len(ids)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([file] * (n + m), pa.string()),
-                    pa.array([*range(block, block + n), *[None] * m], pa.int64()),
-                    pa.array([*data, *[None] * m], pa.binary()),
-                    pa.array([*[None] * n, *range(ordinal, ordinal + m)], pa.int64()),
-                    pa.array([*[None] * n, *ids], pa.int64()),
-                ],
-                names,
-            )
-
+        ordinal = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [rest]
-                for text in part.column("text"):
-                    ids = encode(text.as_py(), path, special_as_text=True)  # so no text holds the separator
-                    found += [ids.astype("<u2"), np.array([separator], dtype="<u2")]
-                flat = np.concatenate(found)
-                whole = len(flat) // block_ids
-                ids = part.column("doc_id").to_pylist()
-                yield rows([flat[i * block_ids : (i + 1) * block_ids].tobytes() for i in range(whole)], ids)
-                rest, block, ordinal = flat[whole * block_ids :], block + whole, ordinal + len(ids)
-        if len(rest):
-            yield rows([rest.tobytes()], [])
-
-    schema = "file string, block long, data binary, ordinal long, doc_id long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(flatten, schema)
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                # Special tokens are text here, so no document holds the separator.
+                data = [encode(text.as_py(), path, special_as_text=True).astype("<u2").tobytes() for text in part.column("text")]
+                ids, numbers = part.column("doc_id").to_pylist(), range(ordinal, ordinal + len(data))
+                lines = [f"{n},{'' if i is None else i}".encode() for n, i in zip(numbers, ids)]
+                for kind, values in enumerate([data, lines]):
+                    row = [pa.array([kind] * len(data), pa.int32()), pa.array(numbers, pa.int64()), pa.array(values, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(row, ["kind", "ordinal", "value"])
+                ordinal += len(data)
+
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(flatten, "kind int, ordinal long, value binary")
+    # The order of each task's rows as they are; Spark's writer of lines ends each by the two bytes.
+    made = made.sortWithinPartitions("kind", "ordinal").select(F.col("value").cast("string").alias("value"), "kind")
+    lines = made.write.partitionBy("kind").option("maxRecordsPerFile", 0).option("compression", "none")
+    lines.option("encoding", LINES).option("lineSep", ends.decode(LINES)).text(folder)
 
 
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
@@ -133,10 +192,18 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
 def document_token_counts(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, file, ordinal, start`` of every row: the documents' flat token files,
     counted by separator scan. A null or empty text has 0 tokens; repeated rows count each."""
-    path = work_path(docs.sparkSession, "tokens")
-    files = token_files(docs)
-    files.write.option("compression", "zstd").parquet(path)
-    files = docs.sparkSession.read.schema(files.schema).parquet(path)
-    counted = count_tokens(files.filter("data IS NOT NULL")).select("file", "ordinal", "start", "n_tokens")
-    places = files.filter("data IS NULL").select("file", "ordinal", "doc_id")
+    spark, path = docs.sparkSession, work_path(docs.sparkSession, "tokens")
+    write_token_files(docs, path)
+    files = spark.read.format("binaryFile").load(path)
+    if "kind" not in files.columns:  # no documents, no files
+        return spark.createDataFrame([], "doc_id long, n_tokens long, file string, ordinal long, start long")
+
+    def part(name: str):
+        return F.concat(F.lit("part-"), F.lpad(F.regexp_extract(name, r"part-(\d+)-[^/]*$", 1), 6, "0")).alias("file")
+
+    blocks = _blocks_of(files.filter("kind = 0").select("path", "length")).select(part("file"), "block", "data")
+    counted = count_tokens(blocks).select("file", "ordinal", "start", "n_tokens")
+    listed = spark.read.option("encoding", LINES).option("lineSep", SEPARATOR.to_bytes(2, "little").decode(LINES)).text(path)
+    listed = listed.filter("kind = 1").select(part("_metadata.file_name"), F.split("value", ",").alias("place"))
+    places = listed.select("file", F.expr("CAST(place[0] AS long)").alias("ordinal"), F.expr("CAST(nullif(place[1], '') AS long)").alias("doc_id"))
     return places.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal", "start")
