@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,9 +24,19 @@ MORE = [
     Rule("google", "AIza", "[A-Za-z0-9_-]", 35),
     Rule("stripe", "(sk|rk)_live_", "[A-Za-z0-9]", 24),
     Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY", "-", 5),
+    # The key itself: its lines, those of an encrypted one, and line ends, indents and quotes as in source code.
+    Rule("private_key_body", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", r"""[A-Za-z0-9+/=:,"'\\\x20\t\r\n-]""", 1),
 ]
 RULES = BASE + MORE
 CHUNK = 4_000_000
+BODY = [r.kind for r in RULES].index("private_key_body")
+#: A run of the body's characters holds keys up to their END lines. One that is cut off goes on to the end of
+#: the run, if it begins as keys do (a DER sequence, OpenSSH's magic, headers of encryption) or with 64 characters.
+KEYS = re.compile(
+    rb"""-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:.*?-----END (?:[A-Z]+ )*PRIVATE KEY-----|"""
+    rb"""[\s\\"'rn+]*(?:M[A-P]|b3Bl|Proc-Type|[A-Za-z0-9+/=]{64}).*)""",
+    re.DOTALL,
+)
 
 
 @cache
@@ -46,6 +57,10 @@ def spans_of(texts: list[str]) -> list[list[tuple[str, int, int]]]:
     out += scanner().scan(todo)
     result = []
     for text, spans in zip(texts, out):
+        if any(r == BODY for r, *_ in spans):
+            data = text.encode("utf-8", "surrogatepass")
+            keys = [(BODY, *m.span()) for r, s, e in spans if r == BODY for m in KEYS.finditer(data, s, e)]
+            spans = [x for x in spans if x[0] != BODY] + keys
         if spans and not text.isascii():
             data = text.encode("utf-8", "surrogatepass")
             spans = [(r, len(data[:s].decode("utf-8", "surrogatepass")), len(data[:e].decode("utf-8", "surrogatepass"))) for r, s, e in spans]

@@ -81,3 +81,35 @@ def test_masks(spark):
     assert (out[2].text, out[3].text, out[4].text) == (None, "", "clean")
     assert masked(odd_documents(spark)).count() == 12
     assert masked(documents(spark, [])).collect() == []
+
+
+LINES = ["MIIEpAIBAAKCAQEA" + "x9+/" * 12, "Qz8w" * 16, "Zm9vYmFyCg=="]
+KEYS = {
+    "plain": "\n".join(["-----BEGIN PRIVATE KEY-----", *LINES, "-----END PRIVATE KEY-----"]),
+    "windows": "\r\n".join(["-----BEGIN EC PRIVATE KEY-----", *LINES, "-----END EC PRIVATE KEY-----"]),
+    "indented": "\n\t  ".join(["-----BEGIN OPENSSH PRIVATE KEY-----", *LINES, "-----END OPENSSH PRIVATE KEY-----"]),
+    "json": r"\n".join(["-----BEGIN RSA PRIVATE KEY-----", *LINES, "-----END RSA PRIVATE KEY-----"]),
+    "code": '\\n" +\n  "'.join(["-----BEGIN RSA PRIVATE KEY-----", *LINES, "-----END RSA PRIVATE KEY-----"]),
+    "encrypted": "\n".join(
+        ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,6E1F0A", "", *LINES, "-----END RSA PRIVATE KEY-----"]
+    ),
+}
+
+
+@pytest.mark.parametrize("form", KEYS)
+def test_masks_cover_whole_private_keys(spark, form):
+    key = KEYS[form]
+    texts = [f"é before {key} after it", f"two\n{key}\nand\n{key}\nend", "cut off " + key[: key.index("-----END")], key]
+    out = {r.doc_id: r.text for r in masked(documents(spark, list(enumerate(texts, 1)))).collect()}
+    assert out == {1: "é before [SECRET] after it", 2: "two\n[SECRET]\nand\n[SECRET]\nend", 3: "cut off [SECRET]", 4: "[SECRET]"}
+
+
+def test_a_header_without_a_key_is_masked_alone():
+    for after in ("; no key", " here: ...", " Many more", ""):
+        assert spans_of([f"-----BEGIN PRIVATE KEY-----{after}"]) == [[("private_key", 0, 27)]]
+
+
+def test_keys_without_line_ends():
+    for after in ("".join(LINES), "".join(LINES) + "-----END PRIVATE KEY-----", "MIIE-----END PRIVATE KEY-----"):
+        text = "-----BEGIN PRIVATE KEY-----" + after
+        assert ("private_key_body", 0, len(text)) in spans_of([text])[0]
