@@ -189,7 +189,9 @@ def _block_links(table: pa.Table, percent: int, least: float) -> pa.Table:
         offsets, values = np.asarray(flat.offsets), np.asarray(flat.values)
         sets = [values[offsets[i] : offsets[i + 1]] for i in range(len(ids))]
         common = _intersections(sets, rows, columns)
-        union = (n[rows][:, None] + n[columns][None, :]).astype(np.int64) - common
+        # Where an id has several texts, n and registers of one meet the set of another.
+        sizes = np.diff(offsets).astype(np.int64)
+        union = sizes[rows][:, None] + sizes[columns][None, :] - common
         linked = (100 * common >= percent * union) & (comp[rows][:, None] != comp[columns][None, :])
         above: dict[int, int] = {}
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saleslake.llm import near_dedup
@@ -88,6 +89,21 @@ def test_ids_that_occur_with_several_texts(spark):
     assert {(r.doc_id, r.component_id) for r in out} == {(9, 4), (4, 4), (7, 4), (8, 8)}
 
 
+@pytest.mark.parametrize("common, linked", [(900, False), (920, True)])
+def test_blocks_link_by_the_sets_at_hand(common, linked):
+    one, two = np.arange(1000), np.arange(1000) + 1000 - common
+    rows = [(1, 100, one), (1, 1000, one), (2, 1000, two)]  # the first with n of another text of its id
+    bands = [np.ones(19, dtype=np.int64)] * 3
+    table = pa.table(
+        {
+            "id": [r[0] for r in rows], "component": [r[0] for r in rows], "band": [0] * 3, "n": [r[1] for r in rows], "bands": bands,
+            "block": [0] * 3, "one": [0] * 3, "two": [0] * 3, "shingles": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+        }
+    )
+    links = near_dedup._block_links(table, 85, near_dedup.least_estimate(85)).to_pylist()
+    assert {frozenset(x.values()) for x in links} == ({frozenset((1, 2))} if linked else set())
+
+
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, []), 3, 85).collect() == []
     assert keep_one_of_each(documents(spark, [])).collect() == []
