@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+import __spark_entry__  # noqa: F401  (registers the queries)
 from checks.registry import QUERIES
 
 ROOT = Path(__file__).parents[1]
