@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saleslake.llm.language_id import language_predictions
+from saleslake.llm.line_dedup import line_digests
 from saleslake.llm.near_dedup import near_duplicates
 from saleslake.llm.packing import pack, token_pieces
 from saleslake.llm.pieces import piece_digests
@@ -190,3 +191,27 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sentencepiece")
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_line_dedup",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS found FROM documents
+    ), lines AS (
+      SELECT r, doc_id, unnest(found) AS line, generate_subscripts(found, 1) AS place FROM d
+    ), keyed AS (
+      SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+    ), shared AS (
+      SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+    ), marked AS (
+      SELECT r, doc_id, line, place, shared.key IS NOT NULL AS gone FROM keyed LEFT JOIN shared ON keyed.key = shared.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY r, doc_id
+    """,
+)
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(table(spark, sf_dir, "documents"))

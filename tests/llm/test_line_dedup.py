@@ -1,0 +1,108 @@
+import hashlib
+import string
+
+import pytest
+from pyspark.sql import functions as F
+
+from saleslake.llm.line_dedup import drop_shared_lines, frequent_keys, line_digests, line_keys, without_shared_lines
+from saleslake.llm.tables import written
+from tests.llm.odd import documents, odd_documents
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def plainly(texts, min_docs, min_chars=1):
+    """(lines, dropped, what stays) of each text."""
+    split = [(t or "").split("\n") for t in texts]
+    keys = [[line.strip(SPACE).translate(LOWER) for line in found] for found in split]
+    n = {}
+    for found in keys:
+        for key in set(found):
+            n[key] = n.get(key, 0) + 1
+    out = []
+    for found, key in zip(split, keys):
+        stay = [line for line, k in zip(found, key) if len(k) < min_chars or n[k] < min_docs]
+        out.append((len(found), len(found) - len(stay), "\n".join(stay)))
+    return out
+
+
+TEXTS = [
+    None, "", "\n", "a\nB \nc", "\tA\x0b\nb\nb\nb", "A\n\nx\u00a0\nÉ", "é\nÉ\na", "x\u00a0\n x\u00a0 \n", "only here\n",
+    "a\nb\nc", "a\nb\nc", "\x00\n\x00", "\x00", " \x1c\n\x1c", "\x1c", "😀😀\n😀", "😀", "😀",
+]
+
+
+@pytest.mark.parametrize("min_docs, min_chars", [(2, 1), (3, 1), (1, 0), (2, 2), (99, 1)])
+def test_against_plain_python(spark, min_docs, min_chars):
+    docs = documents(spark, list(enumerate(TEXTS))).repartition(5)
+    out = {r.kept_columns.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in drop_shared_lines(docs, "text", min_docs, min_chars).collect()}
+    assert [out[i] for i in range(len(TEXTS))] == plainly(TEXTS, min_docs, min_chars)
+
+
+def test_digests_and_texts_over_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    want = {r.doc_id: w for r, w in zip(rows, plainly([r.text for r in rows], 10))}
+    assert any(n for _, n, _ in want.values())
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_digests(docs).collect()}
+    assert got == {i: (n, k, hashlib.sha256(t.encode()).hexdigest()) for i, (n, k, t) in want.items()}
+    texts = without_shared_lines(docs)
+    assert texts.columns == docs.columns
+    assert {r.doc_id: r.text for r in texts.collect()} == {i: t for i, (_, _, t) in want.items()}
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    out = without_shared_lines(docs, min_docs=3)
+    assert out.columns == docs.columns and out.count() == 12
+    # Three rows have the line, two of them under one id: rows count, not ids.
+    assert {r.text for r in out.filter("doc_id IN (5, 6)").collect()} == {""}
+    assert {r.text for r in without_shared_lines(docs, min_docs=4).filter("doc_id IN (5, 6)").collect()} != {""}
+    assert line_digests(documents(spark, [])).collect() == []
+    renamed = docs.select(*[F.col(f"`{c}`").alias({"kept": "keys", "row": "gone"}.get(c, c)) for c in docs.columns])
+    assert without_shared_lines(renamed).columns == renamed.columns
+
+
+def test_a_very_long_text_and_a_hot_line(spark):
+    long = "\n".join(f"line {i % 1000}" for i in range(200_000))
+    i = F.col("id")
+    docs = spark.range(3000).select(
+        i.alias("doc_id"),
+        F.when(i == 0, long).when(i % 3 == 0, F.concat(F.lit("Hot\nown "), i.cast("string"))).otherwise(F.concat(F.lit("own "), i.cast("string"))).alias("text"),
+    )
+    out = {r.kept_columns.doc_id: r for r in drop_shared_lines(docs).collect()}
+    assert out[0].n_dropped == 0 and out[0].kept == long and out[0].n_lines == 200_000
+    assert out[3].kept == "own 3" and out[1].kept == "own 1" and sum(r.n_dropped for r in out.values()) == 999
+
+
+def test_a_hot_line_is_split(spark):
+    """Positions of a line that a third of the rows have, against the frequent lines."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        i = F.col("id")
+        text = F.concat(F.when(i % 3 == 0, "hot").otherwise("cold"), F.lit("\n"), (i % 4000).cast("string"))
+        hashed = written(spark.range(120_000).select(i.alias("row"), line_keys(text).alias("keys")).repartition(8), "hashed")
+        frequent = written(frequent_keys(hashed), "frequent")
+        joined = hashed.select("row", F.posexplode("keys").alias("at", "key")).join(frequent, "key")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_no_python_on_the_main_path(spark):
+    plan = line_digests(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not [w for w in ("Python", "Arrow", "Pandas") if w in plan]
