@@ -14,6 +14,7 @@ from saleslake.llm.quality_rules import quality_verdicts
 from saleslake.llm.registry import query, table
 from saleslake.llm.secrets import span_digests
 from saleslake.llm.sharding import document_shards
+from saleslake.llm.spelling import spelling_groups
 from saleslake.llm.token_counts import document_token_counts
 from saleslake.llm.top_k import integer_vectors, top_k
 
@@ -215,3 +216,56 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_spelling_variants",
+    r"""
+    WITH RECURSIVE bits AS (
+      SELECT i AS byte, i AS c, 0 AS turn FROM range(0, 256) t(i)
+      UNION ALL
+      SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, turn + 1 FROM bits WHERE turn < 8
+    ), crc AS (
+      SELECT list(c ORDER BY byte) AS of_byte FROM bits WHERE turn = 8
+    ), runs AS (
+      SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS of_doc,
+             translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM documents
+    ), counted AS (
+      SELECT of_doc, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY ALL
+    ), hashed AS (
+      SELECT run, times, xor(4294967295, list_reduce(
+          list_concat([4294967295], flatten(list_transform(string_split(of_doc || ':' || run, ''),
+            lambda ch: CASE WHEN ord(ch) < 128 THEN [CAST(ord(ch) AS BIGINT)] ELSE [192 + ord(ch) // 64, 128 + ord(ch) % 64] END))),
+          lambda c, b: xor(of_byte[xor(c, b) % 256 + 1], c >> 8))) AS h
+      FROM counted, crc
+    ), kept AS (
+      SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+      FROM hashed
+    ), words AS (
+      SELECT word, CAST(sum(times) AS BIGINT) AS n FROM kept WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+    ), shorter AS (
+      SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+      FROM words, range(1, length(word) + 1) t(i)
+    ), pairs AS (
+      SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b
+      ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+      UNION SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near
+      FROM pairs
+    ), formed AS (
+      SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+      FROM words LEFT JOIN ranked ON words.word = ranked.word AND place = 1
+    ), steps AS (
+      SELECT word, word AS at, form AS up FROM formed
+      UNION ALL SELECT s.word, s.up, f.form FROM steps s JOIN formed f ON s.up = f.word
+    )
+    SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN steps s ON f.word = s.word AND s.up IS NULL
+    """,
+)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
