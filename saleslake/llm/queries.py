@@ -17,6 +17,7 @@ from saleslake.llm.sharding import document_shards
 from saleslake.llm.spelling import spelling_groups
 from saleslake.llm.token_counts import document_token_counts
 from saleslake.llm.top_k import integer_vectors, top_k
+from saleslake.llm.whitening import whitened_embeddings
 
 
 @query(
@@ -269,3 +270,8 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(table(spark, sf_dir, "embeddings"))

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_are_registered():
     names = list(entry.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
