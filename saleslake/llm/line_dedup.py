@@ -53,7 +53,8 @@ def drop_shared_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_D
     Texts and hashes are written once, under a row number that this table fixes. Hashes meet the
     frequent keys, which are a table too, so that both sides of that join are plain shuffles and
     adaptive execution splits a line with a third of all rows; only row numbers and positions of
-    dropped lines are grouped, one group a document, and meet the texts.
+    dropped lines are grouped, one group a document, and meet the texts in a sorted merge at every
+    size, which moves each text once.
     """
     numbered = written(
         docs.select(
@@ -69,13 +70,13 @@ def drop_shared_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_D
     gone = placed.join(frequent, "key").groupBy("row").agg(F.collect_list("at").alias("gone"))
     gone = written(gone, "gone")
     whole = F.col(f"kept_columns.`{text}`")
-    at = F.sequence(F.lit(0), F.size("keys") - 1)
     found = lines(whole)
+    at = F.sequence(F.lit(0), F.size(found) - 1)
     # Places that stay come from a set difference, so a text of very many lines takes linear time.
     kept = F.transform(F.array(F.struct(found.alias("lines"), F.array_except(at, F.col("gone")).alias("at"))), _joined)[0]
-    return numbered.join(gone, "row", "left").select(
+    return numbered.drop("keys").join(gone.hint("merge"), "row", "left").select(
         "kept_columns",
-        F.size("keys").cast("long").alias("n_lines"),
+        F.size(found).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("gone").isNull(), F.coalesce(whole, F.lit(""))).otherwise(kept).alias("kept"),
     )
