@@ -3,7 +3,7 @@
 For a word, the sorted vocabulary after it is scanned. The rows of the edit matrix (a band of three
 cells, as one edit is allowed) belong to prefixes of the listed words, so neighbours in the list
 share as many rows as letters; and where a row holds no cell of at most one, all words with that
-prefix are skipped at once, up to the next letters that can follow.
+prefix are skipped at once, up to the next prefix that can follow.
 
 Two words that share their first letters lie close together in the sorted list. Others differ
 there, so the rest is equal, and they lie close together in the list of reversed words. Both lists
@@ -31,6 +31,8 @@ LOSES = 31
 #: Words of a block: a power of two, at least this, and so many more that there are at most so many blocks.
 BLOCK_BITS = 13
 MAX_BLOCKS = 4096
+#: Tasks that compare blocks, at most.
+MAX_TASKS = 4096
 #: Letters of a block's ends that the directory of blocks keeps.
 EDGE = 32
 #: After every letter that a word can have.
@@ -79,29 +81,24 @@ def shared_prefix(a: str, b: str) -> int:
     return n
 
 
-def _step(row: tuple[int, int, int], word: str, d: int, letter: str) -> tuple[int, int, int]:
-    """The row of a prefix with ``d + 1`` letters, the last of them ``letter``, from that with ``d``.
-
-    A row holds the distances (2 for any above 1) of the prefix to the first d - 1, d and d + 1
-    letters of the word; 2 stands outside the word, too."""
-    low, mid, high = row
-    n = len(word)
-    # Cells of the next row stand under d, d + 1 and d + 2 letters of the word.
-    first = min(mid + 1, low + (word[d - 1] != letter), 2) if 0 < d <= n else min(mid + 1, 2) if d == 0 else 2
-    second = min(mid + (word[d] != letter), high + 1, first + 1, 2) if d < n else 2
-    third = min(high + (word[d + 1] != letter), second + 1, 2) if d + 1 < n else 2
-    return first, second, third
-
-
-def _next_letter(row: tuple[int, int, int], word: str, d: int, letter: str) -> str | None:
-    """The least letter after ``letter`` that a prefix with this row may go on with: any letter while
-    nothing differs (LAST stands for that), else one that the word has there."""
-    low, mid, high = row
+def _next_prefix(row: tuple[int, int, int], word: str, d: int, other: str) -> str | None:
+    """The least prefix after ``other`` that a near word with the first ``d`` letters of ``other``, whose
+    row this is, may have: any next letter while nothing differs, else one of the word's rests."""
+    begun, (low, mid, high) = other[:d], row
     if mid == 0:
-        return letter + LAST
-    n = len(word)
-    follow = [word[j] for j, cell in ((d - 1, low), (d, mid), (d + 1, high)) if cell < 2 and 0 <= j < n]
-    return min((x for x in follow if x > letter), default=None)
+        return begun + other[d] + LAST
+    least = None
+    if low < 2 and d and begun + word[d - 1 :] > other:
+        least = begun + word[d - 1 :]
+    if mid < 2:
+        ahead = begun + word[d:]
+        if ahead > other and (least is None or ahead < least):
+            least = ahead
+    if high < 2:
+        ahead = begun + word[d + 1 :]
+        if ahead > other and (least is None or ahead < least):
+            least = ahead
+    return least
 
 
 def near_after(word: str, listed: list[str], lcp: list[int], fixed: int = 0) -> Iterator[str]:
@@ -113,37 +110,57 @@ def near_after(word: str, listed: list[str], lcp: list[int], fixed: int = 0) ->
     if i == end or len(word) < fixed:
         return
     n = len(word)
-    # Row d belongs to the first d letters of the word in the list; at first these are the word's own.
+    # Row d holds the distances (2 for any above 1) of the first d letters of the word in the list to
+    # the first d - 1, d and d + 1 letters of the word; 2 stands outside it, too. At first they are the word's own.
     rows = [(2, 0, 1), *[(1, 0, 1)] * (n - 1), (1, 0, 2)] if n else [(2, 0, 2)]
     shared = shared_prefix(word, listed[i])
     while shared >= fixed:
         other = listed[i]
         del rows[shared + 1 :]
-        row, m = rows[-1], len(other)
-        for d in range(shared, m):
-            row = _step(row, word, d, other[d])
-            if row == (2, 2, 2):
+        low, mid, high = rows[-1]
+        d = shared
+        for letter in other[shared:]:
+            # The cells under d, d + 1 and d + 2 letters of the word: the least of replacing, and of
+            # leaving out a letter of either. (Comparisons, as min() costs more than all of the rest.)
+            first = second = third = 2
+            if d <= n:
+                first = mid + 1
+                if d and low + (word[d - 1] != letter) < first:
+                    first = low + (word[d - 1] != letter)
+                if d < n:
+                    second = mid + (word[d] != letter)
+                    if high < second:
+                        second = high + 1
+                    if first < second:
+                        second = first + 1
+                    if d + 1 < n:
+                        third = high + (word[d + 1] != letter)
+                        if second < third:
+                            third = second + 1
+            if first > 1 and second > 1 and third > 1:
                 break
-            rows.append(row)
-        if row != (2, 2, 2):
+            low, mid, high = first if first < 2 else 2, second if second < 2 else 2, third if third < 2 else 2
+            d += 1
+            rows.append((low, mid, high))
+        else:
             # The distance stands under all letters of the word.
-            at = n - m + 1
-            if 0 <= at <= 2 and row[at] == 1:
+            at = n - d + 1
+            if 0 <= at <= 2 and rows[-1][at] == 1:
                 yield other
             i += 1
             if i == end:
                 return
             shared = lcp[i]
             continue
-        # No word with these d + 1 letters is near: on to the next letters that can be.
-        while (letter := _next_letter(rows[d], word, d, other[d])) is None:
+        # No word with these d + 1 letters is near: on to the next prefix that can be.
+        while (ahead := _next_prefix(rows[d], word, d, other)) is None:
             d -= 1
             if d < fixed:
                 return
-        i = bisect_left(listed, other[:d] + letter, i + 1)
+        i = bisect_left(listed, ahead, i + 1)
         if i == end:
             return
-        shared = shared_prefix(other[:d], listed[i])
+        shared = d if listed[i].startswith(other[:d]) else shared_prefix(other[:d], listed[i])
 
 
 def prefixes(listed: list[str]) -> list[int]:
@@ -218,6 +235,8 @@ def _near_in_order(words: DataFrame, total: int, fixed: int, reverse: bool, leas
     ours = units.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("block"))
     theirs = units.filter("a <> b").select("a", "b", F.lit(1).alias("side"), F.col("b").alias("block"))
     members = ours.unionByName(theirs).join(blocks, "block").select("a", "b", "side", "key", "n")
+    # Few bytes, but long scans: a task for each pair of blocks, as far as a job of that width goes.
+    members = members.repartition(min(max(units.count(), 1), MAX_TASKS), "a", "b")
     return members.groupBy("a", "b").applyInArrow(_compare(fixed, reverse, least_shared), "word string, near string, near_n long")
 
 
