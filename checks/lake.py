@@ -69,8 +69,10 @@ def check_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the session shares; a session without one (a local
     process) gets a temporary folder of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    application = spark.sparkContext.applicationId
+    application, master = spark.sparkContext.applicationId, spark.sparkContext.master
     if not shared:
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = _LOCAL.setdefault(application, tempfile.mkdtemp(prefix="saleslake-checks-"))
     return f"{shared.rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
@@ -86,7 +88,7 @@ class Lake:
         self.feed_path = f"{self.base}/feed"
         # The feed arrives with its dirty header.
         write_feed(raw_feed(spark, sf_dir).withColumnRenamed("PROMO", "PROMO,,"), self.feed_path)
-        self.stats = run(spark, self.feed_path, self.base)
+        self.report = run(spark, self.feed_path, self.base)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Lake":
@@ -101,11 +103,11 @@ class Lake:
 
     @property
     def quarantine(self) -> DataFrame:
-        return self.spark.read.parquet(Layers(self.base).quarantine)
+        return self.spark.read.parquet(Layers.of(self.spark, self.base).quarantine)
 
     @property
     def silver(self) -> DataFrame:
-        return self.spark.read.parquet(Layers(self.base).silver)
+        return self.spark.read.parquet(Layers.of(self.spark, self.base).silver)
 
     @property
     def gold(self) -> Gold:

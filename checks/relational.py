@@ -36,7 +36,7 @@ def flt_valid(ctx):
     WHERE d.full_date BETWEEN DATE '{START}' AND DATE '{END}'""",
 )
 def flt_dates(ctx):
-    return growth.in_range(ctx.gold.fact, START, END)
+    return growth.in_range(ctx.gold, START, END)
 
 
 @check(

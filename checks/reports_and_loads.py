@@ -7,7 +7,7 @@ from checks.registry import END, START, check
 from checks.relational import ALL_DATES, CARDINALITY, CATEGORY_DIST, DROP_STATS, GAPS, NULL_COUNTS, describe_sql, share
 from saleslake.functions.fixed_values import HIDDEN_CATEGORIES
 from saleslake.operators import audit, quality, silver, star
-from saleslake.plans import load, metrics, trends
+from saleslake.plans import metrics, trends
 
 RANGE = f"date {sql.RANGE}"
 LAST_12 = """BETWEEN greatest((SELECT max(full_date) FROM days) - 84, (SELECT min(full_date) FROM days))
@@ -203,7 +203,7 @@ def star_cal_fact_sales(ctx):
 
 @check("pipe_run", DROP_STATS)
 def pipe_run(ctx):
-    return ctx.lake.stats
+    return ctx.lake.report.stats
 
 
 # --- Data quality --------------------------------------------------------------
@@ -231,7 +231,7 @@ def dq_parity_gold(ctx):
     "SELECT ERROR_REASON AS error_reason, count(*) AS row_count FROM tagged WHERE ERROR_REASON <> 'Valid' GROUP BY ERROR_REASON",
 )
 def dq_quarantine_report(ctx):
-    return load.quarantine_report(ctx.tagged)
+    return ctx.lake.report.reasons
 
 
 # --- Audit ---------------------------------------------------------------------

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from checks.registry import END, START, check
-from checks.rules import EXACT_ROWS, KEYWORD_ROWS
+from checks.rules import EXACT_ROWS, KEYWORD_ROWS, STUDY_ROWS
 from saleslake.functions import dates, flags, ratios, taxonomy, text
 from saleslake.operators import growth, silver, star
+from saleslake.operators.cleaning import clean
 from saleslake.operators.classify import classify_labels, map_category
 from saleslake.plans import metrics
-from saleslake.sources import catalog, feed
-from saleslake.sources.layers import Layers
+from saleslake.sources import catalog, feed, literals
+from saleslake.sources.layers import MONTH, Layers
 
 
 def rows():
@@ -22,15 +23,44 @@ def col(name: str):
 
 # --- Sources, sinks, SQL -------------------------------------------------------
 
+# Lines of the feed are well formed; see src_raw_csv_ragged for others.
+NO_LINE = "CAST(NULL AS VARCHAR) AS MALFORMED_LINE"
 FEED_TEXTS = "PLN_LABEL, BU, PRODUCT_CATEGORY_LABEL, nullif(OPSTUDY_LABEL, '') AS OPSTUDY_LABEL, ACTUAL, SEG, PROMO"
 
 
-@check("src_raw_csv", f"SELECT WEEK, PLN, {FEED_TEXTS} FROM raw_feed")
+@check("src_raw_csv", f"SELECT WEEK, PLN, {FEED_TEXTS}, {NO_LINE} FROM raw_feed")
 def src_raw_csv(ctx):
     read = ctx.lake.feed
     return read.withColumn("ACTUAL", col("ACTUAL").try_cast("double")).withColumnRenamed("PROMO,,", "PROMO")
 
 
+# Every 13th product line has a cell too many, every 17th of the others lacks its last one.
+TEXTS = ["WEEK", "PLN", "PLN_LABEL", "BU", "PRODUCT_CATEGORY_LABEL", "OPSTUDY_LABEL", "ACTUAL", "SEG", "PROMO"]
+RAGGED = "coalesce(try_cast(PLN AS BIGINT), 0)"
+RAGGED_LINES = f"""SELECT *, concat_ws('|', {', '.join(f"coalesce(CAST({'CAST(floor(ACTUAL) AS BIGINT)' if c == 'ACTUAL' else c} AS {{text}}), '')" for c in TEXTS[:-1])}) AS begun,
+  {RAGGED} % 13 = 1 AS surplus, {RAGGED} % 13 <> 1 AND {RAGGED} % 17 = 1 AS short FROM raw_feed"""
+
+
+@check(
+    "src_raw_csv_ragged",
+    f"""SELECT tag AS error_reason, line AS malformed_line, count(*) AS row_count FROM (
+      SELECT CASE WHEN surplus THEN begun || '|' || coalesce(PROMO, '') || '|more' WHEN short THEN begun END AS line,
+        CASE WHEN surplus THEN 'Malformed Line' WHEN PLN = 'PLN' THEN 'Header Pollution'
+          WHEN PLN IS NULL OR ACTUAL IS NULL THEN 'Missing Critical Keys' ELSE 'Valid' END AS tag
+      FROM ({RAGGED_LINES.format(text='VARCHAR')}) r) t GROUP BY ALL""",
+)
+def src_raw_csv_ragged(ctx):
+    """A feed with lines of another length, read and tagged: tags, and texts of such lines."""
+    ctx.raw.createOrReplaceTempView("raw_feed")
+    lines = catalog.run_sql(ctx.spark, RAGGED_LINES.format(text="STRING"))
+    promo = F.coalesce("PROMO", F.lit(""))
+    ended = F.when(col("surplus"), F.concat_ws("|", "begun", promo, F.lit("more"))).when(col("short"), col("begun"))
+    folder = ctx.folder("ragged")
+    feed.write_lines(lines.select(F.coalesce(ended, F.concat_ws("|", "begun", promo))), TEXTS, folder)
+    tagged = clean(feed.read_feed(ctx.spark, folder))
+    return tagged.groupBy(col("ERROR_REASON").alias("error_reason"), col(feed.LINE).alias("malformed_line")).agg(rows())
+
+
 @check("src_header_fix", "SELECT PROMO, count(*) AS row_count FROM raw_feed GROUP BY PROMO")
 def src_header_fix(ctx):
     return feed.fix_promo_header(ctx.lake.feed).groupBy("PROMO").agg(rows())
@@ -46,18 +76,34 @@ def src_parquet(ctx):
     return ctx.gold.fact
 
 
+STUDIES = ", ".join(f"('{code}', '{name}')" for code, name in STUDY_ROWS)
+
+
 @check(
     "src_literal",
-    """SELECT coalesce(o.name, t.OPSTUDY_LABEL) AS study, count(*) AS row_count
-    FROM tagged t LEFT JOIN opstudy_names o ON o.code = t.OPSTUDY_LABEL GROUP BY ALL""",
+    f"""SELECT l.code, l.name, count(*) AS row_count FROM (VALUES {STUDIES}, ('NO CODE', NULL)) l(code, name)
+    LEFT JOIN tagged t ON t.OPSTUDY_LABEL = l.code GROUP BY ALL""",
 )
 def src_literal(ctx):
-    """The table of study names meets every tagged row."""
-    return silver.readable(ctx.tagged).groupBy(col("OPSTUDY_LABEL").alias("study")).agg(rows())
+    """A table of literals, the study names, meets every tagged row."""
+    names = literals.table(ctx.spark, "code STRING, name STRING", [*STUDY_ROWS, ("NO CODE", None)])
+    return names.join(ctx.tagged, col("OPSTUDY_LABEL") == col("code"), "left").groupBy("code", "name").agg(rows())
 
 
-QUARANTINED = """SELECT WEEK, PLN, PLN_LABEL, BU, PRODUCT_CATEGORY_LABEL, nullif(OPSTUDY_LABEL, '') AS OPSTUDY_LABEL,
-  ACTUAL, SEG, PROMO, DATE, ERROR_REASON FROM tagged WHERE ERROR_REASON <> 'Valid'"""
+@check(
+    "src_literal_rules",
+    """SELECT d.label, coalesce(e.category, 'Other') AS category FROM
+      (SELECT DISTINCT legacy_category_label AS label FROM dim_product) d LEFT JOIN exact_rules e ON d.label = e.label""",
+)
+def src_literal_rules(ctx):
+    """The listed labels as a table of literals: the rules of the calendar variant, joined in the plan."""
+    exact = literals.table(ctx.spark, "label STRING, category STRING", EXACT_ROWS)
+    labels = ctx.gold.products.select(col("legacy_category_label").alias("label")).distinct()
+    return labels.join(exact, "label", "left").select("label", F.coalesce("category", F.lit("Other")).alias("category"))
+
+
+QUARANTINED = f"""SELECT WEEK, PLN, PLN_LABEL, BU, PRODUCT_CATEGORY_LABEL, nullif(OPSTUDY_LABEL, '') AS OPSTUDY_LABEL,
+  ACTUAL, SEG, PROMO, DATE, ERROR_REASON, {NO_LINE} FROM tagged WHERE ERROR_REASON <> 'Valid'"""
 
 
 @check("sink_quarantine", QUARANTINED)
@@ -79,16 +125,40 @@ def typed(df):
 
 @check("sink_gold", TYPED_FACTS)
 def sink_gold(ctx):
-    """The facts as they lie in their folder, with the types found there."""
-    return typed(ctx.spark.read.parquet(Layers(ctx.lake.base).gold("fact_sales")))
+    """The facts as they lie in their folders by month, with the types found there."""
+    return typed(ctx.spark.read.parquet(Layers.of(ctx.spark, ctx.lake.base).gold("fact_sales")).drop(MONTH))
 
 
 @check("cat_register", TYPED_FACTS)
 def cat_register(ctx):
     """The facts by way of the catalog, with the types declared there."""
+    return typed(catalog.run_sql(ctx.spark, f"SELECT * FROM {registered(ctx)}.fact_sales").drop(MONTH))
+
+
+@check(
+    "cat_register_star",
+    """SELECT p.broad_category, d.year, s.segment_id, count(*) AS row_count, sum(f.actual_sales) AS actual
+    FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_product p ON f.pln_id = p.pln_id
+    JOIN dim_segment s ON f.segment_id = s.segment_id GROUP BY ALL""",
+)
+def cat_register_star(ctx):
+    """All four tables by way of the catalog, joined by their statistics."""
+    database = registered(ctx)
+    catalog.analyze(ctx.spark, database)
+    return catalog.run_sql(
+        ctx.spark,
+        f"""SELECT p.broad_category, d.year, s.segment_id, count(*) AS row_count, sum(f.actual_sales) AS actual
+        FROM {database}.fact_sales f JOIN {database}.dim_date d ON f.date_key = d.date_key
+        JOIN {database}.dim_product p ON f.pln_id = p.pln_id JOIN {database}.dim_segment s ON f.segment_id = s.segment_id
+        GROUP BY p.broad_category, d.year, s.segment_id""",
+    )
+
+
+def registered(ctx):
+    """The database of the lake, its tables declared."""
     database = "lake_" + ctx.lake.base.rsplit("-", 1)[-1]
     catalog.create_tables(ctx.spark, ctx.lake.base, database)
-    return typed(catalog.run_sql(ctx.spark, f"SELECT * FROM {database}.fact_sales"))
+    return database
 
 
 @check("sql_run", f"SELECT * FROM weekly WHERE date BETWEEN DATE '{START}' AND DATE '{END}'")

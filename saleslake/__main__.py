@@ -12,12 +12,15 @@ from saleslake.sources.feed import read_feed
 from saleslake.sources.layers import Gold
 from saleslake.sources.rules import read_rules
 from saleslake.sources.scratch import work_folder
+from saleslake.sources.versions import remove_unused
 
 
 def load(spark: SparkSession, options: argparse.Namespace) -> None:
     """Feed to quarantine, silver and gold; facts must exist and not outnumber the feed."""
     rules = read_rules(spark, *options.rules) if options.rules else None
-    run(spark, options.feed, options.base, options.variant, rules).show()
+    report = run(spark, options.feed, options.base, options.variant, rules)
+    report.stats.show()
+    report.reasons.show(truncate=False)
     quality.require(quality.gold_parity(read_feed(spark, options.feed), Gold.read(spark, options.base).fact))
 
 
@@ -45,6 +48,12 @@ def parity(spark: SparkSession, options: argparse.Namespace) -> None:
         quality.require(quality.gold_parity(feed, Gold.read(spark, options.base).fact)).show()
 
 
+def clean(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Remove the tables of loads that were killed. Not while a load runs."""
+    for name in remove_unused(spark, options.base):
+        print(f"removed {name}")
+
+
 def arguments_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="saleslake", description="Sales feed to star schema, audit and row checks.")
     commands = parser.add_subparsers(required=True)
@@ -70,6 +79,10 @@ def arguments_parser() -> argparse.ArgumentParser:
     checking.add_argument("feed", help="file, folder or URI of the feed")
     checking.add_argument("--copy", help="a copy that must have the same number of rows")
     checking.add_argument("--base", help="folder or URI of a load")
+
+    cleaning = commands.add_parser("clean", help=clean.__doc__)
+    cleaning.set_defaults(command=clean)
+    cleaning.add_argument("base", help="folder or URI of a load")
     return parser
 
 

@@ -12,6 +12,9 @@ HEADER_POLLUTION = "Header Pollution"
 MISSING_KEYS = "Missing Critical Keys"
 VALID = "Valid"
 
+# Tag of our own for lines that have no place in the columns.
+MALFORMED = "Malformed Line"
+
 # --- Fixed values: texts that stand for "no value" -----------------------------
 NULL_ALIASES = ["na", "none", "unknown", "nan", "null", "", "nobusinessunit"]
 

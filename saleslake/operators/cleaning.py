@@ -4,14 +4,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from saleslake.functions import dates, flags, text
 from saleslake.functions.fixed_values import VALID
-from saleslake.sources.feed import fix_promo_header
+from saleslake.sources.feed import LINE, fix_promo_header, surplus_cells
 
 LABELS = ["PLN_LABEL", "PRODUCT_CATEGORY_LABEL", "OPSTUDY_LABEL"]
 
 
 def clean(raw: DataFrame) -> DataFrame:
     """Clean texts, parse the week code and the amount, and tag every row.
-    Nothing is dropped, and a cell that does not parse becomes null."""
+    Nothing is dropped, and a cell that does not parse becomes null. A line with too few cells is
+    judged by those it has, one with too many is tagged and keeps its text."""
     raw = fix_promo_header(raw)
     cleaned = raw.withColumns(
         {
@@ -23,7 +24,8 @@ def clean(raw: DataFrame) -> DataFrame:
             **{c: text.tidy_label(F.col(c).cast("string")) for c in LABELS},
         }
     )
-    return cleaned.withColumn("ERROR_REASON", flags.error_reason(F.col("PLN"), F.col("ACTUAL")))
+    surplus = surplus_cells(F.col(LINE), len(raw.columns) - 1) if LINE in raw.columns else None
+    return cleaned.withColumn("ERROR_REASON", flags.error_reason(F.col("PLN"), F.col("ACTUAL"), surplus))
 
 
 def quarantine_rows(tagged: DataFrame) -> DataFrame:
@@ -31,9 +33,9 @@ def quarantine_rows(tagged: DataFrame) -> DataFrame:
 
 
 def valid_rows(tagged: DataFrame) -> DataFrame:
-    """Valid rows without their tag; the key becomes a number here."""
+    """Valid rows without their tag and the text of their line; the key becomes a number here."""
     return (
         tagged.filter(F.col("ERROR_REASON") == VALID)
-        .drop("ERROR_REASON")
+        .drop("ERROR_REASON", LINE)
         .withColumn("PLN", F.col("PLN").try_cast("bigint"))
     )

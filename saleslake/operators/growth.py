@@ -9,7 +9,7 @@ date and product together are nearly the grain of the facts.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from saleslake.functions import dates, ratios
-from saleslake.sources.layers import Gold
+from saleslake.sources.layers import MONTH, Gold, month_of
 
 WEEK_BACK = 1
 YEAR_BACK = 52
@@ -24,15 +24,23 @@ def promo_sales() -> Column:
     return F.sum(F.when(F.col("is_promo"), F.col("actual_sales")).otherwise(F.lit(0.0)))
 
 
-def in_range(fact: DataFrame, start=None, end=None) -> DataFrame:
-    """Facts from start to end, both included. The date key orders like the date, so
-    the test sits on the fact itself and reaches the Parquet scan."""
-    key = F.col("date_key")
-    if start is not None:
-        fact = fact.filter(key >= dates.date_key(dates.as_date(start)))
-    if end is not None:
-        fact = fact.filter(key <= dates.date_key(dates.as_date(end)))
-    return fact
+def by_key(fact: DataFrame, low: Column | None = None, high: Column | None = None) -> DataFrame:
+    """Facts whose date key lies between two keys, both included. The date key orders like the
+    date, so the test sits on the fact itself and reaches the Parquet scan; where the facts lie in
+    folders by month, the months of the keys choose the folders, also when a key is only known at
+    run time."""
+    key, month = F.col("date_key"), F.col(MONTH) if MONTH in fact.columns else None
+    if low is not None:
+        fact = fact.filter(key >= low if month is None else (key >= low) & (month >= month_of(low)))
+    if high is not None:
+        fact = fact.filter(key <= high if month is None else (key <= high) & (month <= month_of(high)))
+    return fact.drop(MONTH)
+
+
+def in_range(gold: Gold, start=None, end=None) -> DataFrame:
+    """Facts from start to end, both included; an open range holds the undated ones, too."""
+    low, high = (None if day is None else dates.date_key(dates.as_date(day)) for day in (start, end))
+    return by_key(gold.fact if gold.by_month is None else gold.by_month, low, high)
 
 
 def between_dates(rows: DataFrame, start=None, end=None, on: str = "date") -> DataFrame:
@@ -63,24 +71,23 @@ def weeks_back(gold: Gold, start, weeks: int = YEAR_BACK) -> Column:
 
 def weekly_sales(gold: Gold, until=None, since_key: Column | None = None) -> DataFrame:
     """``(date, current_sales)``"""
-    fact = in_range(gold.fact, end=until)
-    if since_key is not None:
-        fact = fact.filter(F.col("date_key") >= since_key)
-    by_key = fact.groupBy("date_key").agg(sales().alias("current_sales"))
-    return with_date(by_key, gold).groupBy("date").agg(F.sum("current_sales").alias("current_sales"))
+    high = None if until is None else dates.date_key(dates.as_date(until))
+    fact = by_key(gold.fact if gold.by_month is None else gold.by_month, since_key, high)
+    weekly = fact.groupBy("date_key").agg(sales().alias("current_sales"))
+    return with_date(weekly, gold).groupBy("date").agg(F.sum("current_sales").alias("current_sales"))
 
 
 def weekly_group_sales(gold: Gold, attribute: str, excluded=None, until=None) -> DataFrame:
     """``(date, grp, current_sales, promo_sales)`` by a product attribute."""
     groups = not_in(gold.products.select("pln_id", F.col(attribute).alias("grp")), "grp", excluded)
-    by_key = (
-        in_range(gold.fact, end=until)
+    weekly = (
+        in_range(gold, end=until)
         .join(groups, "pln_id")
         .groupBy("date_key", "grp")
         .agg(sales().alias("current_sales"), promo_sales().alias("promo_sales"))
     )
     return (
-        with_date(by_key, gold)
+        with_date(weekly, gold)
         .groupBy("date", "grp")
         .agg(F.sum("current_sales").alias("current_sales"), F.sum("promo_sales").alias("promo_sales"))
     )

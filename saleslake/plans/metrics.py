@@ -23,13 +23,13 @@ def filters(gold: Gold) -> DataFrame:
 
 
 def chosen_range(gold: Gold, *picked) -> tuple:
-    """Bounds as columns: nothing picked is the full range, one date is that date only."""
+    """Bounds as columns: nothing picked is the full range, one date is that date only. Every date
+    in the date table has facts, so that table names the full range."""
     if len(picked) > 2:
         raise ValueError("a range has at most two dates")
     if picked:
         return dates.as_date(picked[0]), dates.as_date(picked[-1])
-    bounds = filters(gold)
-    return bounds.select("min_date").scalar(), bounds.select("max_date").scalar()
+    return gold.dates.agg(F.min("full_date")).scalar(), gold.dates.agg(F.max("full_date")).scalar()
 
 
 def last_weeks(gold: Gold, weeks: int, end=None) -> tuple:
@@ -62,7 +62,7 @@ def top_metrics(gold: Gold, start, end, group: str, n: int = 10, exclude=None) -
 
 def segment_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     """``(seg, actual)``"""
-    dated = growth.in_range(gold.fact, start, end).groupBy("date_key", "segment_id")
+    dated = growth.in_range(gold, start, end).groupBy("date_key", "segment_id")
     sums = dated.agg(growth.sales().alias("actual")).join(gold.dates.select("date_key"), "date_key")
     by_segment = sums.groupBy("segment_id").agg(F.sum("actual").alias("actual"))
     return by_segment.join(gold.segments, "segment_id").select(F.col("segment_id").alias("seg"), "actual")
@@ -71,7 +71,7 @@ def segment_metrics(gold: Gold, start=None, end=None) -> DataFrame:
 def promo_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     """``(date, promo, actual)``"""
     sums = (
-        growth.in_range(gold.fact, start, end)
+        growth.in_range(gold, start, end)
         .groupBy("date_key", "is_promo")
         .agg(growth.sales().alias("actual"))
     )
@@ -89,7 +89,7 @@ def _by_category(gold: Gold, start, end, keys: list[str], excluded=None) -> Data
     categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"))
     categories = growth.not_in(categories, "product_category", excluded)
     sums = (
-        growth.in_range(gold.fact, start, end)
+        growth.in_range(gold, start, end)
         .join(categories, "pln_id")
         .groupBy("date_key", "product_category", *keys)
         .agg(growth.sales().alias("actual"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.sources.layers import GOLD_COLUMNS, GOLD_TABLES, Gold, Layers
+from saleslake.sources.layers import GOLD_COLUMNS, GOLD_TABLES, MONTH, Gold, Layers
 
 # --- Fixed values: report names of result columns, by their lower-case form ----
 REPORT_NAMES = {
@@ -28,16 +28,47 @@ REPORT_NAMES = {
 }
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def create_tables(spark: SparkSession, base: str, database: str) -> None:
-    """External tables over the gold folders; existing ones are kept."""
-    layers = Layers(base)
-    name = "`" + database.replace("`", "``") + "`"
+    """External tables over the gold folders in use. A table that is there stays as it is, unless a
+    later load has put another folder into use: then it is declared anew over that."""
+    layers, name = Layers.of(spark, base), _quoted(database)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_literal(f'{base}/catalog')}")
     for table in GOLD_TABLES:
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name}.{table} ({GOLD_COLUMNS[table]}) "
-            f"USING PARQUET LOCATION {_literal(layers.gold(table))}"
-        )
+        where, columns, months = layers.gold(table), GOLD_COLUMNS[table], ""
+        if spark.catalog.tableExists(f"{name}.{table}"):
+            if _location(spark, f"{name}.{table}").endswith(layers.folders[table]):
+                continue
+            spark.sql(f"DROP TABLE {name}.{table}")  # an external table: its files stay
+        if table == "fact_sales":
+            columns, months = f"{columns}, {MONTH} INT", f"PARTITIONED BY ({MONTH})"
+        spark.sql(f"CREATE TABLE {name}.{table} ({columns}) USING PARQUET {months} LOCATION {_literal(where)}")
+        if months:
+            spark.sql(f"ALTER TABLE {name}.{table} RECOVER PARTITIONS")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")
+
+
+def analyze(spark: SparkSession, database: str) -> None:
+    """Table and column statistics of the four tables, so that joins are planned by rows that
+    remain and not by sizes of files. Of the facts only the keys that joins and filters use are
+    read; their size comes with that pass."""
+    name = _quoted(database)
+    for table in GOLD_TABLES:
+        columns = "FOR COLUMNS date_key, pln_id, segment_id" if table == "fact_sales" else "FOR ALL COLUMNS"
+        spark.sql(f"ANALYZE TABLE {name}.{table} COMPUTE STATISTICS {columns}")
+
+
+def read_tables(spark: SparkSession, database: str) -> Gold:
+    """The four tables by way of the catalog, with their statistics."""
+    fact, *others = (spark.table(f"{_quoted(database)}.{table}") for table in GOLD_TABLES)
+    return Gold(fact.drop(MONTH), *others, fact)
 
 
 def _literal(text: str) -> str:

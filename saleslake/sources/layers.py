@@ -1,11 +1,13 @@
 """The Parquet layers under one base path: quarantine, silver and the gold tables."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from saleslake.sources.versions import in_use
 
 # --- Fixed values: columns of the gold tables ----------------------------------
 GOLD_COLUMNS = {
@@ -22,48 +24,71 @@ GOLD_COLUMNS = {
 GOLD_TABLES = tuple(GOLD_COLUMNS)
 
 
+#: The facts lie in one folder per month of their date key; undated ones have a folder of their own.
+MONTH = "month_key"
+
+
 @dataclass(frozen=True)
 class Layers:
-    """Paths of one lake; the base is any URI Spark can reach."""
+    """Paths of the tables in use under one base, which is any URI Spark can reach."""
 
     base: str
+    folders: Mapping[str, str]
+
+    @classmethod
+    def of(cls, spark: SparkSession, base: str) -> "Layers":
+        return cls(base, in_use(spark, base).used)
+
+    def path(self, table: str) -> str:
+        if table not in self.folders:
+            raise FileNotFoundError(f"no load under {self.base} has written {table}")
+        return f"{self.base}/{self.folders[table]}"
 
     @property
     def quarantine(self) -> str:
-        return f"{self.base}/quarantine"
+        return self.path("quarantine")
 
     @property
     def silver(self) -> str:
-        return f"{self.base}/silver"
+        return self.path("silver")
 
     def gold(self, table: str) -> str:
-        return f"{self.base}/gold/{table}"
+        return self.path(table)
 
 
 @dataclass(frozen=True)
 class Gold:
-    """The four gold tables as frames."""
+    """The four gold tables as frames. ``by_month``, if there, is the fact with the month it is
+    stored under: a range of dates then reads the folders of its months only."""
 
     fact: DataFrame
     dates: DataFrame
     products: DataFrame
     segments: DataFrame
+    by_month: DataFrame | None = None
 
     @classmethod
     def read(cls, spark: SparkSession, base: str) -> "Gold":
         """The stored tables. Only the date table differs between variants, so only
         its columns are looked up in the files."""
+        layers = Layers.of(spark, base)
 
-        def table(name: str) -> DataFrame:
-            reader = spark.read if name == "dim_date" else spark.read.schema(GOLD_COLUMNS[name])
-            return reader.parquet(Layers(base).gold(name))
+        def table(name: str, more: str = "") -> DataFrame:
+            reader = spark.read if name == "dim_date" else spark.read.schema(GOLD_COLUMNS[name] + more)
+            return reader.parquet(layers.gold(name))
 
-        return cls(*map(table, GOLD_TABLES))
+        by_month = table("fact_sales", f", {MONTH} INT")
+        return cls(by_month.drop(MONTH), *map(table, GOLD_TABLES[1:]), by_month)
 
     def tables(self) -> dict[str, DataFrame]:
         return dict(zip(GOLD_TABLES, (self.fact, self.dates, self.products, self.segments)))
 
 
+def month_of(date_key: Column) -> Column:
+    """The month of a date key, as it names a folder of facts."""
+    return F.floor(date_key / F.lit(100)).cast("int")
+
+
 def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Submit independent writes at the same time, so that small ones fill the gaps of
     large ones; fails when one of them fails."""
@@ -72,26 +97,29 @@ def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
             done.result()
 
 
-def write_quarantine(rows: DataFrame, base: str) -> None:
+def write_quarantine(rows: DataFrame, path: str) -> None:
     """A few bad rows out of many files: rebalancing leaves few, right-sized files."""
-    rows.hint("rebalance").write.mode("overwrite").parquet(Layers(base).quarantine)
+    rows.hint("rebalance").write.parquet(path)
+
 
+def write_silver(rows: DataFrame, path: str) -> None:
+    rows.write.parquet(path)
 
-def write_silver(rows: DataFrame, base: str) -> None:
-    rows.write.mode("overwrite").parquet(Layers(base).silver)
 
+def write_gold(gold: Gold, path: Callable[[str], str]) -> None:
+    """One folder per table, named by ``path``; in that of the facts one per month.
 
-def write_gold(gold: Gold, base: str) -> None:
-    """One folder per table. The fact is clustered by date, so that a date range
-    skips row groups. The other columns take part in the ranges: without them all
-    rows of one date would end in one task."""
-    layers = Layers(base)
-    clustered = gold.fact.repartitionByRange(
+    The facts are dealt out by ranges of date, so a month lies in few files and a range of dates
+    skips row groups. The other columns take part in the ranges: without them all rows of one
+    date would end in one task."""
+    months = gold.fact.withColumn(MONTH, month_of(F.col("date_key")))
+    clustered = months.repartitionByRange(
         "date_key", "pln_id", "segment_id", "actual_sales"
-    ).sortWithinPartitions("date_key", "pln_id")
+    ).sortWithinPartitions(MONTH, "date_key", "pln_id")
     frames = {**gold.tables(), "fact_sales": clustered}
 
-    def write(table: str) -> Callable[[], None]:
-        return lambda: frames[table].write.mode("overwrite").parquet(layers.gold(table))
+    def write(table: str, to: str) -> Callable[[], None]:
+        writer = frames[table].write
+        return lambda: (writer.partitionBy(MONTH) if table == "fact_sales" else writer).parquet(to)
 
-    together(gold.fact.sparkSession, *map(write, GOLD_TABLES))
+    together(gold.fact.sparkSession, *[write(table, path(table)) for table in GOLD_TABLES])

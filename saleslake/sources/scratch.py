@@ -7,11 +7,16 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system a path lies on, whatever it is, and the path as that takes it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder on whatever file system it lies."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = file_system(spark, path)
+    files.delete(folder, True)
 
 
 @contextmanager

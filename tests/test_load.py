@@ -1,11 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from saleslake.__main__ import main
 from saleslake.operators import quality
 from saleslake.plans import load
 from saleslake.sources import catalog
-from saleslake.sources.feed import read_feed, write_feed
-from saleslake.sources.layers import GOLD_COLUMNS, Gold, Layers
+from saleslake.sources.feed import LINE, read_feed, surplus_cells, write_feed
+from saleslake.sources.layers import GOLD_COLUMNS, MONTH, Gold, Layers
 from tests.rows import DIRTY, RAW, as_set, frame, one
 
 
@@ -21,21 +22,44 @@ def feed(spark, folder):
 def test_feed_round_trip(spark, feed):
     rows = read_feed(spark, feed)
     assert set(dict(rows.dtypes).values()) == {"string"}
-    assert rows.columns[-1] == "PROMO,,"
-    assert tuple(DIRTY) in as_set(rows)
-
-
-def test_short_lines_are_padded(spark, folder):
-    spark.createDataFrame([("A|B|C",), ("1|2",), ('"1|2|3',)], "v string").coalesce(1).write.text(f"{folder}/t")
-    assert as_set(read_feed(spark, f"{folder}/t")) == {("1", "2", None), ('"1', "2", "3")}
+    assert rows.columns[-2:] == ["PROMO,,", LINE]
+    assert (*DIRTY, None) in as_set(rows)
+
+
+def test_lines_of_another_length_keep_their_text(spark, folder):
+    lines = ["A|B|C", "1|2", '"1|2|3', "1|2|3|4", "1|2|3|", "", "|||||"]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(f"{folder}/t")
+    rows = read_feed(spark, f"{folder}/t")
+    assert as_set(rows) == {
+        ("1", "2", None, "1|2"), ('"1', "2", "3", None), ("1", "2", "3", "1|2|3|4"), ("1", "2", "3", "1|2|3|"), (None, None, None, "|||||"),
+    }
+    # The same, where a step needs one column only.
+    surplus = rows.filter(surplus_cells(F.col(LINE), 3)).select("A", LINE)
+    assert as_set(surplus) == {("1", "1|2|3|4"), ("1", "1|2|3|"), (None, "|||||")}
+    assert rows.count() == 5
+    assert sorted(r["A"] or "" for r in rows.select("A").collect()) == ["", '"1', "1", "1", "1"]
+
+
+def test_a_line_with_too_many_cells_is_quarantined_with_its_text(spark, feed, folder):
+    header = "WEEK|PLN|PLN_LABEL|BU|PRODUCT_CATEGORY_LABEL|OPSTUDY_LABEL|ACTUAL|SEG|PROMO"
+    whole, surplus, short = "1231022|1|L|B|C|O|2.5|A|N", "1231022|2|L|x|B|C|O|2.5|A|N", "1231022|3|L|B|C|O|2.5|A"
+    with open(f"{folder}/ragged.csv", "w") as out:
+        out.write("\n".join([header, whole, surplus, short, header + "|more"]) + "\n")
+    report = load.run(spark, f"{folder}/ragged.csv", f"{folder}/out")
+    assert tuple(one(report.stats)) == (4, 2, 2, 0) and as_set(report.reasons) == {("Malformed Line", 2)}
+    bad = spark.read.parquet(Layers.of(spark, f"{folder}/out").quarantine)
+    assert as_set(bad.select(LINE, "ERROR_REASON")) == {(surplus, "Malformed Line"), (header + "|more", "Malformed Line")}
+    stored = spark.read.parquet(Layers.of(spark, f"{folder}/out").silver)
+    assert LINE not in stored.columns and as_set(stored.select("PLN", "PROMO")) == {(1, "N"), (3, "N")}
 
 
 def test_whole_load(spark, feed, folder):
-    stats = one(load.run(spark, feed, folder))
+    stats = one(load.run(spark, feed, folder).stats)
     assert stats.asDict() == {"total_rows": 5, "quarantined_rows": 2, "silver_rows": 2, "duplicate_rows": 1}
     gold = Gold.read(spark, folder)
     assert gold.fact.count() == 2
-    reasons = {r["ERROR_REASON"] for r in spark.read.parquet(Layers(folder).quarantine).collect()}
+    assert Layers.of(spark, folder).folders.keys() == {"quarantine", "silver", *GOLD_COLUMNS}
+    reasons = {r["ERROR_REASON"] for r in spark.read.parquet(Layers.of(spark, folder).quarantine).collect()}
     assert reasons == {"Header Pollution", "Missing Critical Keys"}
     assert as_set(gold.products.select("pln_id", "broad_category")) == {(1001, "Confectionery"), (1002, "Grocery")}
 
@@ -58,7 +82,7 @@ def test_catalog(spark, feed, folder):
         catalog.create_tables(spark, folder, "shop")
     assert spark.table("shop.fact_sales").count() == 2
     for table, columns in GOLD_COLUMNS.items():
-        declared = ", ".join(f"{n} {t.upper()}" for n, t in spark.table(f"shop.{table}").dtypes)
+        declared = ", ".join(f"{n} {t.upper()}" for n, t in spark.table(f"shop.{table}").drop(MONTH).dtypes)
         assert declared == columns
     spark.sql("DROP DATABASE shop CASCADE")
 

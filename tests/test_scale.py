@@ -14,7 +14,7 @@ from checks.registry import QUERIES
 from saleslake.operators import audit, growth, silver, star
 from saleslake.operators.cleaning import clean
 from saleslake.plans import load, metrics
-from saleslake.sources.layers import Gold, write_gold
+from saleslake.sources.layers import Gold, Layers, write_gold
 from saleslake.sources.scratch import written
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,6 +49,87 @@ def test_date_range_and_columns_reach_the_scan(spark):
     assert "pln_id" not in fact
 
 
+def scans(node):
+    """The file scans of an executed plan, with what they read."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return scans(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return scans(node.plan())
+    found = [node] if kind == "FileSourceScanExec" else []
+    for i in range(node.children().size()):
+        found += scans(node.children().apply(i))
+    return found
+
+
+def months_read(df):
+    """How many folders of facts each scan of them has opened."""
+    df.collect()
+    facts = [s for s in scans(df._jdf.queryExecution().executedPlan()) if "actual_sales" in s.output().toString()]
+    return [s.metrics().apply("numPartitions").value() for s in facts]
+
+
+def test_a_date_range_opens_the_folders_of_its_months_only(spark):
+    gold = Lake.of(spark, SF_DIR).gold
+    all_months = gold.by_month.select("month_key").distinct().count()
+    for report, months in (
+        (metrics.promo_metrics(gold, "2016-03-01", "2016-05-31"), 3),
+        (metrics.segment_metrics(gold, "2016-12-20", "2017-01-10"), 2),
+        (metrics.promo_lift_metrics(gold, "2017-02-01", "2017-02-28"), 1),
+    ):
+        assert "month_key" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan(report)[plan(report).index("actual_sales") :]).group(1)
+        assert months_read(report) == [months]
+    assert months_read(metrics.segment_metrics(gold)) == [all_months]
+
+
+def test_bounds_known_at_run_time_choose_the_folders_too(spark):
+    """The last weeks end at the last date there is, which a scalar subquery finds."""
+    gold = Lake.of(spark, SF_DIR).gold
+    report = metrics.segment_metrics(gold, *metrics.last_weeks(gold, 8))
+    fact = next(line for line in plan(report).splitlines() if "FileScan" in line and "actual_sales" in line)
+    assert re.search(r"PartitionFilters: \[.*month_key#\d+ >= .*[Ss]ubquery", fact)
+    assert 1 <= months_read(report)[0] <= 3
+    weekly = metrics.weekly_metrics(gold, "2019-01-01", "2019-03-31")
+    assert months_read(weekly) and months_read(weekly)[0] <= 16
+    # The same rows as from a fact without folders.
+    flat = Gold(gold.fact, gold.dates, gold.products, gold.segments)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, metrics.segment_metrics(flat, *metrics.last_weeks(flat, 8)).collect()))
+
+
+def test_undated_facts_have_a_folder_of_their_own(spark, folder):
+    rows = hot_rows(spark, 3_000).withColumn("DATE", F.expr("if(PLN % 5 = 1, null, DATE)"))
+    stars = star.build_star(rows)
+    write_gold(stars, lambda table: f"{folder}/{table}")
+    undated = [p for p in pathlib.Path(folder, "fact_sales").iterdir() if p.name == "month_key=__HIVE_DEFAULT_PARTITION__"]
+    assert len(undated) == 1
+    found = spark.read.parquet(f"{folder}/fact_sales/month_key=__HIVE_DEFAULT_PARTITION__")
+    assert found.filter("date_key IS NOT NULL").count() == 0 and found.count() == stars.fact.filter("date_key IS NULL").count() > 0
+
+
+def executions(spark):
+    """The plans that Spark SQL has run so far in this session."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsList().size())]
+
+
+def test_a_load_counts_without_reading_again(spark, folder):
+    """Statistics and reasons come from the writes: four of them, and nothing else reads a table."""
+    feed = Lake.of(spark, SF_DIR).feed_path
+    before = len(executions(spark))
+    report = load.load_silver(spark, feed, f"{folder}/lake")
+    stats, reasons = report.stats.first(), report.reasons.collect()
+    ran = executions(spark)[before:]
+    writes = [text for text in ran if "InsertIntoHadoopFsRelationCommand" in text]
+    assert len(writes) == 4  # tagged rows, golden records, quarantine, silver
+    assert not [text for text in ran if text not in writes and "Scan parquet" in text]
+    assert stats["quarantined_rows"] == sum(r["row_count"] for r in reasons) > 0
+    stored = Layers.of(spark, f"{folder}/lake")
+    assert stats["silver_rows"] == spark.read.parquet(stored.silver).count()
+    bad = spark.read.parquet(stored.quarantine).groupBy("ERROR_REASON").count().collect()
+    assert {r["error_reason"]: r["row_count"] for r in reasons} == {r["ERROR_REASON"]: r["count"] for r in bad}
+
+
 def test_lags_read_no_more_than_they_need(spark):
     """Neither facts after the end nor those before the longest lag of the start."""
     gold = Lake.of(spark, SF_DIR).gold
@@ -189,12 +270,12 @@ def test_a_hot_date_is_split_in_the_fact_files(spark, folder):
     facts = star.fact_sales(hot_rows(spark, 60_000))
     gold = star.build_star(hot_rows(spark, 60_000))
     with settings(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        write_gold(Gold(facts, gold.dates, gold.products, gold.segments), folder)
-    stored = spark.read.parquet(f"{folder}/gold/fact_sales").groupBy(F.input_file_name().alias("f")).count()
+        write_gold(Gold(facts, gold.dates, gold.products, gold.segments), lambda table: f"{folder}/{table}")
+    stored = spark.read.parquet(f"{folder}/fact_sales").groupBy(F.input_file_name().alias("f")).count()
     sizes = [r["count"] for r in stored.collect()]
     assert sum(sizes) == 60_000
     assert max(sizes) < 60_000 / 3
-    files = spark.read.parquet(f"{folder}/gold/fact_sales").filter("date_key = 20200105")
+    files = spark.read.parquet(f"{folder}/fact_sales").filter("date_key = 20200105")
     assert files.select(F.input_file_name()).distinct().count() > 1
 
 
