@@ -118,3 +118,59 @@ def test_showcase(spark):
     row = one(audit.showcase(frame(spark, RAW, DIRTY))).asDict()
     assert (row["raw_week"], row["raw_bu"], row["raw_promo"]) == ('"1231015"', "none", '"Y",,')
     assert (row["DATE"], row["BU"], row["PROMO"]) == (datetime.date(2023, 10, 15), "Unknown", "Y")
+
+
+def test_more_dates_than_a_bitmap_holds(spark, monkeypatch):
+    """Bitmaps of one word: combinations with more dates have several rows on the way."""
+    days = [datetime.date(2000, 1, 2) + datetime.timedelta(weeks=i) for i in range(150)]
+    draw = random.Random(4)
+    facts = {(draw.choice([key(d), None, 99]) if draw.random() < 0.02 else key(d), p, s, s == "A", 1.0) for d in days for p in (1, 2, 3) for s in "AB" if draw.random() < 0.6}
+    tables = (list(facts), [(d, key(d), d.year, d.month, 1, 0) for d in days], [], [])
+    gold = Gold(*[frame(spark, GOLD_COLUMNS[t], *r) for t, r in zip(GOLD_COLUMNS, tables)])
+    want, keys = {}, {key(d): d for d in days}
+    for date_key, p, s, promo, _ in facts:
+        want.setdefault((p, s, "Y" if promo else "N"), set()).add(keys.get(date_key))
+    expected = set()
+    for c, seen in want.items():
+        there = sorted(d for d in seen if d)
+        span = (there[-1] - there[0]).days // 7 + 1
+        expected.add((*c, len(seen), there[0], there[-1], span, span - len(seen)))
+    columns = ["pln", "seg", "promo", "weeks_present", "first_seen", "last_seen", "expected_weeks", "missing_weeks"]
+    results = [as_set(audit.date_presence(gold).select(*columns)), as_set(audit.gap_summary(gold))]
+    assert results[0] == expected
+    monkeypatch.setattr(audit, "WORDS", 1)
+    assert [as_set(audit.date_presence(gold).select(*columns)), as_set(audit.gap_summary(gold))] == results
+
+
+def test_gaps_of_no_facts(spark):
+    empty = gold_of(spark, [])
+    assert audit.gaps(empty).collect() == []
+    assert as_set(audit.gap_summary(empty)) == {("unique_dates", 0), ("combinations_with_gaps", 0)}
+
+
+def test_sketched_quartiles_have_a_small_rank_error(spark):
+    draw = random.Random(11)
+    values = [round(draw.lognormvariate(3, 2), 2) for _ in range(30_000)] + [5.0] * 15_000
+    facts = [(key(DAYS[i % 10]) if i % 50 else None, i % 700, "A", True, None if i % 90 == 0 else v) for i, v in enumerate(values)]
+    gold = gold_of(spark, facts)
+    gold = Gold(gold.fact.repartition(13), gold.dates, gold.products, gold.segments)
+    found = {r["column_name"]: r for r in audit.describe_sketched(gold).collect()}
+    there = sorted(r[0] for r in gold.fact.select("actual_sales").dropna().collect())
+    actual = found["actual"]
+    assert (actual["row_count"], actual["null_count"]) == (len(there), len(facts) - len(there))
+    assert (actual["min"], actual["max"]) == (there[0], there[-1])
+    mean = math.fsum(there) / len(there)
+    assert math.isclose(actual["mean"], mean, rel_tol=1e-12)
+    assert math.isclose(actual["std"], math.sqrt(math.fsum((v - mean) ** 2 for v in there) / (len(there) - 1)), rel_tol=1e-9)
+    for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        low, high = sum(v < actual[name] for v in there), sum(v <= actual[name] for v in there)
+        assert low - 0.005 * len(there) <= q * len(there) <= high + 0.005 * len(there)
+    assert found["year"]["row_count"] == sum(i % 50 > 0 for i in range(len(facts))) and found["month"]["p50"] in (1, 2)
+    assert audit.describe_sketched(gold_of(spark, [])).collect() == []
+
+
+def test_both_profiles_have_the_same_items(spark, gold, folder):
+    exact = {(r["section"], r["item"]): r["value"] for r in audit.profile(gold, f"{folder}/a").collect()}
+    sketched = {(r["section"], r["item"]): r["value"] for r in audit.profile(gold, f"{folder}/b", sketched=True).collect()}
+    assert exact.keys() == sketched.keys()
+    assert {k: v for k, v in exact.items() if k[0] != "describe"} == {k: v for k, v in sketched.items() if k[0] != "describe"}

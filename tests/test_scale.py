@@ -209,6 +209,24 @@ def test_the_audit_reads_the_facts_once(spark):
     assert not [f for f in profile.inputFiles() if f.rsplit("/", 1)[-1] in fact_files]
 
 
+def test_gaps_deal_out_combinations_only(spark):
+    """Dates become bits before the shuffle: one exchange stands above the facts, and one scan of them is enough."""
+    gold = Lake.of(spark, SF_DIR).gold
+    for report in (audit.gaps(gold), audit.gap_summary(gold)):
+        text = plan(report)
+        assert text.count("hashpartitioning(") == 1 and "hashpartitioning(pln_id" in text
+        assert len([line for line in text.splitlines() if "FileScan" in line and "is_promo" in line]) == 1
+        assert "date_key#" not in re.search(r"hashpartitioning\(([^)]*)\)", text).group(1)
+
+
+def test_sketches_move_no_values(spark):
+    gold = Lake.of(spark, SF_DIR).gold
+    text = plan(audit.describe_sketched(gold))
+    assert len([line for line in text.splitlines() if "FileScan" in line and "actual_sales" in line]) == 1
+    dealt = re.findall(r"(?:hash|range)partitioning\(([^)]*)\)", text)
+    assert dealt and all(re.match(r"(task|column_name)#", d) for d in dealt)
+
+
 def test_no_quartile_join_is_dealt_by_the_few_columns(spark):
     """Values meet their ranges by column and range, even where nothing is broadcast."""
     gold = Lake.of(spark, SF_DIR).gold
