@@ -8,6 +8,7 @@ from checks.relational import ALL_DATES, CARDINALITY, CATEGORY_DIST, DROP_STATS,
 from saleslake.functions.fixed_values import HIDDEN_CATEGORIES
 from saleslake.operators import audit, quality, silver, star
 from saleslake.plans import metrics, trends
+from saleslake.sources import buckets
 
 RANGE = f"date {sql.RANGE}"
 LAST_12 = """BETWEEN greatest((SELECT max(full_date) FROM days) - 84, (SELECT min(full_date) FROM days))
@@ -139,6 +140,35 @@ def q_promo_lift_volume(ctx):
     return trends.promo_lift(ctx.gold, False, START, END)
 
 
+def as_report(name: str, inner: str, **columns: str) -> str:
+    named = {"date": "NULL::DATE", "product_category": "NULL::VARCHAR", "promo": "NULL::VARCHAR", "segment": "NULL::VARCHAR"} | columns
+    return f"SELECT '{name}' AS report, " + ", ".join(f"{c} AS {n}" for n, c in named.items()) + f", actual FROM ({inner}) r"
+
+
+@check(
+    "agg_grouping_sets",
+    " UNION ALL ".join(
+        [
+            as_report("promo", sql.promo(), date="date", promo="promo"),
+            as_report("promo_lift", sql.lift(), product_category="product_category", promo="promo"),
+            as_report("category_mix", sql.mix(), date="date", product_category="product_category"),
+            as_report("segment", sql.segment(), segment="seg"),
+        ]
+    ),
+)
+def agg_grouping_sets(ctx):
+    """Four reports from one pass over the facts."""
+    return metrics.report_sums(ctx.gold, START, END)
+
+
+@check("join_star_buckets", sql.top("pln_label", "pln_label", 10))
+def join_star_buckets(ctx):
+    """The top labels from facts and products in buckets, those with many facts in parts."""
+    database = "buckets_" + ctx.folder("x").rsplit("-", 1)[-1]
+    buckets.write_buckets(ctx.spark, ctx.lake.base, database, buckets=8, part_rows=20)
+    return metrics.top_metrics(buckets.read_buckets(ctx.spark, ctx.lake.base, database), START, END, "PLN_LABEL", 10)
+
+
 @check("q_segment_share", share(sql.segment(), ""))
 def q_segment_share(ctx):
     return trends.segment_share(ctx.gold, START, END)

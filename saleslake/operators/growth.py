@@ -77,12 +77,18 @@ def weekly_sales(gold: Gold, until=None, since_key: Column | None = None) -> Dat
     return with_date(weekly, gold).groupBy("date").agg(F.sum("current_sales").alias("current_sales"))
 
 
+def with_product(fact: DataFrame, gold: Gold, attribute: str, alias: str, excluded=None) -> DataFrame:
+    """Facts with an attribute of their product; those without a product are left out, as are the
+    excluded values. Facts in buckets meet the products of the same buckets."""
+    parted = gold.parted is not None and "part" in fact.columns
+    products, keys = (gold.parted, ["pln_id", "part"]) if parted else (gold.products, ["pln_id"])
+    return fact.join(not_in(products.select(*keys, F.col(attribute).alias(alias)), alias, excluded), keys)
+
+
 def weekly_group_sales(gold: Gold, attribute: str, excluded=None, until=None) -> DataFrame:
     """``(date, grp, current_sales, promo_sales)`` by a product attribute."""
-    groups = not_in(gold.products.select("pln_id", F.col(attribute).alias("grp")), "grp", excluded)
     weekly = (
-        in_range(gold, end=until)
-        .join(groups, "pln_id")
+        with_product(in_range(gold, end=until), gold, attribute, "grp", excluded)
         .groupBy("date_key", "grp")
         .agg(sales().alias("current_sales"), promo_sales().alias("promo_sales"))
     )

@@ -86,11 +86,8 @@ def promo_metrics(gold: Gold, start=None, end=None) -> DataFrame:
 
 def _by_category(gold: Gold, start, end, keys: list[str], excluded=None) -> DataFrame:
     """Sums by date, broad category and further fact columns."""
-    categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"))
-    categories = growth.not_in(categories, "product_category", excluded)
     sums = (
-        growth.in_range(gold, start, end)
-        .join(categories, "pln_id")
+        growth.with_product(growth.in_range(gold, start, end), gold, "broad_category", "product_category", excluded)
         .groupBy("date_key", "product_category", *keys)
         .agg(growth.sales().alias("actual"))
     )
@@ -111,3 +108,48 @@ def category_mix_metrics(gold: Gold, start=None, end=None) -> DataFrame:
     """``(date, product_category, actual)`` without the catch-all categories."""
     sums = _by_category(gold, start, end, [], HIDDEN_CATEGORIES)
     return sums.groupBy("date", "product_category").agg(F.sum("actual").alias("actual")).orderBy("date")
+
+
+#: The reports that ``report_sums`` gives, with the columns each is summed by.
+REPORTS = {
+    "promo": ["date", "promo"],
+    "promo_lift": ["product_category", "promo"],
+    "category_mix": ["date", "product_category"],
+    "segment": ["segment"],
+}
+#: What tells, within a report, whether its own join would have found the row.
+CONDITIONS = {"promo_lift": ["listed"], "category_mix": ["listed"], "segment": ["known"]}
+
+
+def report_sums(gold: Gold, start=None, end=None) -> DataFrame:
+    """``(report, date, product_category, promo, segment, actual)``: sales by promotion, promotion
+    lift, category mix and segment sales from one pass over the facts.
+
+    Facts are summed by all four columns first, before any shuffle; the grouping sets then work on
+    those sums. A column that a report is not summed by is null in its rows. A product, a date or a
+    segment that is in no table counts where its own question would count it."""
+    categories = gold.products.select("pln_id", F.col("broad_category").alias("product_category"), F.lit(True).alias("listed"))
+    facts = growth.in_range(gold, start, end).join(categories, "pln_id", "left")
+    sums = facts.groupBy("date_key", "product_category", "listed", "is_promo", "segment_id").agg(growth.sales().alias("actual"))
+    known = gold.segments.select("segment_id", F.lit(True).alias("known"))
+    cells = growth.with_date(sums, gold).join(known, "segment_id", "left").withColumnRenamed("segment_id", "segment")
+    # The flag itself is what a report is summed by; its label comes last.
+    cells = cells.withColumnRenamed("is_promo", "promo")
+    sets = {name: [*columns, *CONDITIONS.get(name, [])] for name, columns in REPORTS.items()}
+    columns = ["date", "product_category", "promo", "segment", "listed", "known"]
+    grouped = cells.groupingSets([list(map(F.col, s)) for s in sets.values()], *columns).agg(
+        F.sum("actual").alias("actual"), F.grouping_id().alias("set")
+    )
+    # Bits of the columns that a set leaves out, the first column highest.
+    left_out = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for name, s in sets.items()}
+    named = grouped.withColumn("report", F.coalesce(*[F.when(F.col("set") == bits, name) for name, bits in left_out.items()]))
+    report = F.col("report")
+    hidden = F.col("product_category").isin(HIDDEN_CATEGORIES)
+    counts = (
+        (report == "promo")
+        | ((report == "promo_lift") & F.col("listed"))
+        | ((report == "category_mix") & F.col("listed") & ~hidden)
+        | ((report == "segment") & F.col("known"))
+    )
+    label = F.when(report.isin("promo", "promo_lift"), flags.promo_label(F.col("promo"))).alias("promo")
+    return named.filter(counts).select("report", "date", "product_category", label, "segment", "actual")

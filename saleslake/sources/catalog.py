@@ -28,15 +28,19 @@ REPORT_NAMES = {
 }
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def create_database(spark: SparkSession, base: str, database: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {_literal(f'{base}/catalog')}")
+
+
 def create_tables(spark: SparkSession, base: str, database: str) -> None:
     """External tables over the gold folders in use. A table that is there stays as it is, unless a
     later load has put another folder into use: then it is declared anew over that."""
-    layers, name = Layers.of(spark, base), _quoted(database)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_literal(f'{base}/catalog')}")
+    layers, name = Layers.of(spark, base), quoted(database)
+    create_database(spark, base, database)
     for table in GOLD_TABLES:
         where, columns, months = layers.gold(table), GOLD_COLUMNS[table], ""
         if spark.catalog.tableExists(f"{name}.{table}"):
@@ -59,7 +63,7 @@ def analyze(spark: SparkSession, database: str) -> None:
     """Table and column statistics of the four tables, so that joins are planned by rows that
     remain and not by sizes of files. Of the facts only the keys that joins and filters use are
     read; their size comes with that pass."""
-    name = _quoted(database)
+    name = quoted(database)
     for table in GOLD_TABLES:
         columns = "FOR COLUMNS date_key, pln_id, segment_id" if table == "fact_sales" else "FOR ALL COLUMNS"
         spark.sql(f"ANALYZE TABLE {name}.{table} COMPUTE STATISTICS {columns}")
@@ -67,7 +71,7 @@ def analyze(spark: SparkSession, database: str) -> None:
 
 def read_tables(spark: SparkSession, database: str) -> Gold:
     """The four tables by way of the catalog, with their statistics."""
-    fact, *others = (spark.table(f"{_quoted(database)}.{table}") for table in GOLD_TABLES)
+    fact, *others = (spark.table(f"{quoted(database)}.{table}") for table in GOLD_TABLES)
     return Gold(fact.drop(MONTH), *others, fact)
 
 

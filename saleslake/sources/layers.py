@@ -59,13 +59,15 @@ class Layers:
 @dataclass(frozen=True)
 class Gold:
     """The four gold tables as frames. ``by_month``, if there, is the fact with the month it is
-    stored under: a range of dates then reads the folders of its months only."""
+    stored under: a range of dates then reads the folders of its months only. ``parted``, if there,
+    is the product table laid out like these facts (see ``sources.buckets``)."""
 
     fact: DataFrame
     dates: DataFrame
     products: DataFrame
     segments: DataFrame
     by_month: DataFrame | None = None
+    parted: DataFrame | None = None
 
     @classmethod
     def read(cls, spark: SparkSession, base: str) -> "Gold":

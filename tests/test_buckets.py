@@ -1,0 +1,76 @@
+"""Facts and products in buckets: no exchange of facts in their join, and no bucket of a hot product."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.lake import check_folder
+from saleslake.plans import metrics
+from saleslake.sources.buckets import FACTS, KEYS, product_parts, read_buckets, write_buckets
+from saleslake.sources.layers import MONTH, Gold, write_gold
+from saleslake.sources.versions import new_version
+from saleslake.operators import star
+from tests.test_scale import hot_rows, months_read, plan, settings
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture(scope="module")
+def lake(spark):
+    """A third of 30,000 facts belongs to one product."""
+    base = check_folder(spark, "buckets")
+    with new_version(spark, base) as version:
+        write_gold(star.build_star(hot_rows(spark, 30_000)), version.path)
+    database = f"buckets_{uuid.uuid4().hex}"
+    write_buckets(spark, base, database, buckets=16, part_rows=1000)
+    yield base, database
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_the_join_moves_no_fact(spark, lake):
+    plain, bucketed = Gold.read(spark, lake[0]), read_buckets(spark, *lake)
+    for report in (
+        lambda gold: metrics.top_metrics(gold, "2020-02-01", "2020-12-31", "PLN_LABEL", 5),
+        lambda gold: metrics.promo_lift_metrics(gold, "2020-02-01", "2020-12-31"),
+    ):
+        with settings(spark, **NO_BROADCAST):
+            text = plan(report(bucketed))
+            assert "SortMergeJoin [pln_id" in text and "hashpartitioning(pln_id" not in text
+            assert "Bucketed: true" in text and "SelectedBucketsCount: 16 out of 16" in text
+            assert "hashpartitioning(pln_id" in plan(report(plain))
+            got = sorted(map(tuple, report(bucketed).collect()))
+        assert got == sorted(map(tuple, report(plain).collect())) != []
+
+
+def test_folders_by_month_are_still_chosen(spark, lake):
+    bucketed = read_buckets(spark, *lake)
+    assert months_read(metrics.promo_lift_metrics(bucketed, "2020-02-01", "2020-03-31")) == [2]
+
+
+def test_a_hot_product_fills_many_buckets(spark, lake):
+    bucketed, plain = read_buckets(spark, *lake), Gold.read(spark, lake[0])
+    parts = product_parts(plain.fact, 1000).collect()
+    assert [(r["pln_id"], r["parts"]) for r in parts] == [(0, 10)]
+    assert bucketed.by_month.filter("pln_id = 0").select("part").distinct().count() == 10
+    assert bucketed.parted.filter("pln_id = 0").count() == 10 and bucketed.parted.filter("pln_id <> 0 AND part > 0").count() == 0
+    sizes = bucketed.by_month.groupBy(F.pmod(F.hash(*KEYS), F.lit(16))).count().collect()
+    assert sum(r["count"] for r in sizes) == 30_000 and max(r["count"] for r in sizes) < 30_000 / 4
+    # The same facts, under the same months.
+    assert bucketed.fact.exceptAll(plain.fact).count() == 0 == plain.fact.exceptAll(bucketed.fact).count()
+    assert bucketed.by_month.select(MONTH).distinct().count() == plain.by_month.select(MONTH).distinct().count()
+
+
+def test_buckets_of_no_facts_and_none_at_all(spark):
+    base, database = check_folder(spark, "buckets"), f"buckets_{uuid.uuid4().hex}"
+    with new_version(spark, base) as version:
+        write_gold(star.build_star(hot_rows(spark, 0)), version.path)
+    with pytest.raises(FileNotFoundError, match=FACTS):
+        read_buckets(spark, base, database)
+    write_buckets(spark, base, database, buckets=4)
+    gold = read_buckets(spark, base, database)
+    assert gold.fact.count() == 0 and metrics.promo_lift_metrics(gold).collect() == []
+    # Written again: the tables of the first time are still there for who has planned on them.
+    write_buckets(spark, base, database, buckets=4)
+    assert gold.parted.count() == 0 and read_buckets(spark, base, database).parted.count() == 0
+    spark.sql(f"DROP DATABASE {database} CASCADE")

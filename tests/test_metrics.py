@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 
+from checks.lake import Lake
 from saleslake.plans import metrics, trends
 from saleslake.sources.catalog import report_names, run_sql, create_views
 from saleslake.sources.layers import GOLD_COLUMNS, Gold
@@ -137,3 +138,35 @@ def test_report_names(gold):
     names = report_names(metrics.top_metrics(gold, None, None, "BU")).columns
     assert names[0] == "BU"
     assert "Promo_Penetration_PCT" in names
+
+
+def test_four_reports_in_one_are_the_four_reports(spark, gold):
+    """Also with facts whose product, segment or date is in no table, and without any facts."""
+    more = frame(
+        spark,
+        GOLD_COLUMNS["fact_sales"],
+        (key(week(3)), 77, "A", True, 5.0), (key(week(3)), 1, "Z", False, 7.0), (key(week(3)), 1, None, None, 9.0), (19990101, 1, "A", True, 11.0),
+    )
+    for facts, start, end in ((gold.fact.union(more), None, None), (gold.fact.union(more), week(2), week(20)), (gold.fact.limit(0), None, None)):
+        some = Gold(facts, gold.dates, gold.products, gold.segments)
+        sums = metrics.report_sums(some, start, end)
+        separate = {
+            "promo": metrics.promo_metrics(some, start, end).select("date", "promo", "actual"),
+            "promo_lift": metrics.promo_lift_metrics(some, start, end).select("product_category", "promo", "actual"),
+            "category_mix": metrics.category_mix_metrics(some, start, end).select("date", "product_category", "actual"),
+            "segment": metrics.segment_metrics(some, start, end).select("seg", "actual"),
+        }
+        for name, report in separate.items():
+            assert as_set(sums.filter(f"report = '{name}'").select(*metrics.REPORTS[name], "actual")) == as_set(report), name
+        assert sums.count() == sum(report.count() for report in separate.values())
+        for name, columns in metrics.REPORTS.items():
+            others = [c for c in ("date", "product_category", "promo", "segment") if c not in columns]
+            assert sums.filter(f"report = '{name}'").dropna(subset=others, how="all").count() == 0
+
+
+def test_four_reports_read_the_facts_once(gold, spark):
+    stored = Lake.of(spark, "/root/testdata/sf0.001").gold
+    text = metrics.report_sums(stored, week(0))._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in text.splitlines() if "FileScan" in line and "actual_sales" in line]) == 1
+    # Four rows for each of the sums, not for each fact.
+    assert text.index("Expand") < text.index("HashAggregate", text.index("Expand")) < text.rindex("FileScan")
