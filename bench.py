@@ -60,6 +60,7 @@ def steps(spark: SparkSession, feed: str, base: str) -> dict:
         "q_promo": lambda: metrics.promo_metrics(gold(), START, END),
         "q_promo_lift": lambda: metrics.promo_lift_metrics(gold(), START, END),
         "q_category_mix": lambda: metrics.category_mix_metrics(gold(), START, END),
+        "four_reports_in_one": lambda: metrics.report_sums(gold(), START, END),
         "q_kpis": lambda: trends.kpis(gold(), START, END),
         "audit_categories": lambda: audit.category_distribution(gold()),
         "top_unmapped": lambda: audit.top_unmapped(gold()),
@@ -71,15 +72,16 @@ def steps(spark: SparkSession, feed: str, base: str) -> dict:
     def collected(build):
         return lambda: build().collect()
 
-    def profile():
+    def profile(sketched):
         with work_folder(spark, base) as work:
-            audit.profile(gold(), work).collect()
+            audit.profile(gold(), work, sketched).collect()
 
     return {
         "load_silver": lambda: load.load_silver(spark, feed, base),
         "load_gold": lambda: load.load_gold(spark, base),
         **{name: collected(build) for name, build in reports.items()},
-        "audit_profile": profile,
+        "audit_profile": lambda: profile(False),
+        "audit_profile_sketched": lambda: profile(True),
     }
 
 
