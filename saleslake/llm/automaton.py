@@ -215,9 +215,11 @@ class Scanner:
             on = np.concatenate([[False], (accepted >> r & 1).astype(bool), [False]])
             edges = np.flatnonzero(on[1:] != on[:-1])
             first, last = edges[::2], edges[1::2]
+            settled, used = -1, 0  # the last interval looked at, and the end of the last match up to it
             for j in np.flatnonzero(last - first >= rule.least).tolist():
                 text = int(np.searchsorted(begins, first[j], side="right")) - 1
-                match = self._match(joined, r, first, last, j, int(begins[text]))
+                match, used = self._match(joined, r, first, last, j, settled, max(int(begins[text]), used))
+                settled = j
                 if match and match[2] - match[1] >= rule.least:
                     found[text].append((r, match[0] - int(begins[text]), match[2] - int(begins[text])))
         return found
@@ -238,15 +240,18 @@ class Scanner:
         table, final = self.back[r]
         return next((s for s, row in enumerate(table) if not final[s] and all(t == s for t in row)), -1)
 
-    def _match(self, joined: bytes, r: int, first, last, j: int, begin: int) -> tuple[int, int, int] | None:
-        """(start, start of the tail, end) of the match that ends with interval j of tail characters.
-        It may not begin in an earlier match, so those that reach into it are settled first."""
+    def _match(
+        self, joined: bytes, r: int, first, last, j: int, settled: int, used: int
+    ) -> tuple[tuple[int, int, int] | None, int]:
+        """(start, start of the tail, end) of the match that ends with interval j of tail characters,
+        and the end of the last match so far. It may not begin in an earlier match, so intervals that
+        reach into it are settled first, from the last settled one on: each is looked at once."""
         chain = [j]
-        start = self._start(joined, r, int(first[j]), begin)
-        while chain[-1] and last[chain[-1] - 1] > start >= 0 and last[chain[-1] - 1] > begin:
+        start = self._start(joined, r, int(first[j]), used)
+        while chain[-1] - 1 > settled and last[chain[-1] - 1] > start >= 0 and last[chain[-1] - 1] > used:
             chain.append(chain[-1] - 1)
-            start = self._start(joined, r, int(first[chain[-1]]), begin)
-        used, match = begin, None
+            start = self._start(joined, r, int(first[chain[-1]]), used)
+        match = None
         for i in reversed(chain):
             match = None
             for tail in range(int(first[i]), int(last[i])):
@@ -255,4 +260,4 @@ class Scanner:
                     match = (s, tail, int(last[i]))
                     used = int(last[i])
                     break
-        return match
+        return match, used

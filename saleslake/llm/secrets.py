@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -28,20 +29,43 @@ MORE = [
     Rule("private_key_body", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", r"""[A-Za-z0-9+/=:,"'\\\x20\t\r\n-]""", 1),
 ]
 RULES = BASE + MORE
+#: Ends of keys, found by the same automaton; no secrets by themselves.
+ENDS = Rule("private_key_end", "-----END ([A-Z]+ )*PRIVATE KEY", "-", 5)
 CHUNK = 4_000_000
-BODY = [r.kind for r in RULES].index("private_key_body")
-#: A run of the body's characters holds keys up to their END lines. One that is cut off goes on to the end of
-#: the run, if it begins as keys do (a DER sequence, OpenSSH's magic, headers of encryption) or with 64 characters.
-KEYS = re.compile(
-    rb"""-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:.*?-----END (?:[A-Z]+ )*PRIVATE KEY-----|"""
-    rb"""[\s\\"'rn+]*(?:M[A-P]|b3Bl|Proc-Type|[A-Za-z0-9+/=]{64}).*)""",
-    re.DOTALL,
-)
+HEADER, BODY, END = [r.kind for r in RULES].index("private_key"), [r.kind for r in RULES].index("private_key_body"), len(RULES)
+#: What a key that is cut off begins with: a DER sequence, OpenSSH's magic, headers of encryption, or 64 characters.
+BEGUN = re.compile(rb"""[\s\\"'rn+]*(?:M[A-P]|b3Bl|Proc-Type|[A-Za-z0-9+/=]{64})""")
+LINE = b"PRIVATE KEY-----"
 
 
 @cache
 def scanner() -> Scanner:
-    return Scanner(RULES)
+    return Scanner([*RULES, ENDS])
+
+
+def _keys(data: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Whole private keys: from each header to the first END line after it within the run of the
+    body's characters. A key that is cut off goes on to the end of the run, if it begins as keys do.
+    Headers, END lines and runs, each in order, are merged in one pass."""
+    headers, ends, runs = (sorted((s, e) for r, s, e in spans if r == rule) for rule in (HEADER, END, BODY))
+    found, at, next_end, next_run = [], 0, 0, 0
+    for start, _ in headers:
+        while next_run < len(runs) and runs[next_run][1] <= start:
+            next_run += 1
+        if start < at or next_run == len(runs) or runs[next_run][0] > start:
+            continue
+        after, limit = data.index(LINE, start) + len(LINE), runs[next_run][1]
+        while next_end < len(ends) and ends[next_end][0] < after:
+            next_end += 1
+        end = data.index(LINE, ends[next_end][0]) + len(LINE) if next_end < len(ends) else limit + 1
+        if end <= limit:
+            at = end
+        elif BEGUN.match(data, after, limit):
+            at = limit
+        else:
+            continue
+        found.append((BODY, start, at))
+    return found
 
 
 def spans_of(texts: list[str]) -> list[list[tuple[str, int, int]]]:
@@ -57,13 +81,14 @@ def spans_of(texts: list[str]) -> list[list[tuple[str, int, int]]]:
     out += scanner().scan(todo)
     result = []
     for text, spans in zip(texts, out):
-        if any(r == BODY for r, *_ in spans):
-            data = text.encode("utf-8", "surrogatepass")
-            keys = [(BODY, *m.span()) for r, s, e in spans if r == BODY for m in KEYS.finditer(data, s, e)]
-            spans = [x for x in spans if x[0] != BODY] + keys
+        if any(r in (BODY, END) for r, *_ in spans):
+            keys = _keys(text.encode("utf-8", "surrogatepass"), spans)
+            spans = [x for x in spans if x[0] not in (BODY, END)] + keys
         if spans and not text.isascii():
             data = text.encode("utf-8", "surrogatepass")
-            spans = [(r, len(data[:s].decode("utf-8", "surrogatepass")), len(data[:e].decode("utf-8", "surrogatepass"))) for r, s, e in spans]
+            # Code points begin at bytes that do not continue one.
+            points = np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)
+            spans = [(r, *(int(points[at - 1]) if at else 0 for at in (s, e))) for r, s, e in spans]
         result.append([(RULES[r].kind, s, e) for s, r, e in sorted((s, r, e) for r, s, e in spans)])
     return result
 
@@ -85,7 +110,10 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secret_spans"
 
 
 def span_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row of documents."""
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every row of documents.
+
+    A null or empty text has no spans, and the digest of the empty text. Rows that repeat an id or a
+    whole row give a row each, a null id stays null, an empty table stays empty."""
     base = [r.kind for r in BASE]
 
     def joined(spans) -> str:

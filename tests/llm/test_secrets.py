@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -113,3 +114,29 @@ def test_keys_without_line_ends():
     for after in ("".join(LINES), "".join(LINES) + "-----END PRIVATE KEY-----", "MIIE-----END PRIVATE KEY-----"):
         text = "-----BEGIN PRIVATE KEY-----" + after
         assert ("private_key_body", 0, len(text)) in spans_of([text])[0]
+
+
+@pytest.mark.parametrize("line", ["-----BEGIN PRIVATE KEY-----\n", "-----END PRIVATE KEY-----\n", "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\nx "])
+def test_headers_without_keys_take_linear_time(line):
+    """Two megabytes of lines that each could begin a key, before and after text of other alphabets."""
+    spans_of([line])  # the automaton is built once
+    started = time.perf_counter()
+    found = spans_of(["é" + line * (2_000_000 // len(line)) + "é"])[0]
+    assert time.perf_counter() - started < 6
+    assert {k for k, *_ in found} <= {"private_key", "private_key_body"}
+
+
+def test_keys_against_plain_python():
+    """Random runs of headers, ends, bodies and other text: from each header to its END line."""
+    draw = random.Random(8)
+    bits = ["-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----",
+            "MIIEvQ", "Proc-Type: 4,ENCRYPTED", "\n", " ", "é", "A" * 64, "short", "!", "------"]
+    key = re.compile(
+        r"""-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[A-Za-z0-9+/=:,"'\\\x20\t\r\n-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----|"""
+        r"""[\s\\"'rn+]*(?:M[A-P]|b3Bl|Proc-Type|[A-Za-z0-9+/=]{64})[A-Za-z0-9+/=:,"'\\\x20\t\r\n-]*)"""
+    )
+    for _ in range(4000):
+        # Every line of dashes stands alone, so that no two share theirs.
+        text = "".join(x + "\n" * (x.startswith("-")) for x in (draw.choice(bits) for _ in range(draw.randint(0, 12))))
+        got = [(s, e) for k, s, e in spans_of([text])[0] if k == "private_key_body"]
+        assert got == [m.span() for m in key.finditer(text)], text
