@@ -23,18 +23,18 @@ from saleslake.llm.whitening import whitened_embeddings
 @query(
     "op1_top_k",
     """
-    WITH v AS (
-      SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, vec_id,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
       FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-      GROUP BY vec_id
     ), scored AS (
-      SELECT q.vec_id AS query_id, c.vec_id,
+      SELECT q.r, q.vec_id AS query_id, c.vec_id,
              CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r
     ), ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+      SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM scored
     )
     SELECT query_id, CAST(place AS INTEGER) AS "rank", vec_id, score FROM ranked WHERE place <= 5
     """,

@@ -17,22 +17,23 @@ BINS = 1024
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 EXACT_DOUBLE = 2**53
+#: Scores beyond are held there, so that the difference of two fits 64 bits.
+REACH = 2**61
 
 
 def integer_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """``vec_id, v``: ``floor(scale * x)`` of every component.
+    """``row, vec_id, v``: ``floor(scale * x)`` of every component, under a row number.
 
     A null id, and a vector that is null or holds a null, NaN or infinite component, take no
-    part. An id is a key: of several vectors under one id the smallest in array order stands.
-    Other columns are ignored, whatever their names.
+    part. Rows that repeat an id are rows of their own; the number, fixed by writing the table,
+    tells them apart. Other columns are ignored, whatever their names.
     """
     x = F.col(vector)
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e.cast("double")) == float("inf")))
     kept = rows.filter(F.col(id_column).isNotNull() & x.isNotNull() & ~bad)
     floors = F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e.cast("double")))
-    return kept.select(F.col(id_column).cast("long").alias("vec_id"), floors.alias("v")).groupBy("vec_id").agg(
-        F.min("v").alias("v")
-    )
+    row = F.monotonically_increasing_id().alias("row")
+    return written(kept.select(row, F.col(id_column).cast("long").alias("vec_id"), floors.alias("v")), "rows")
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -46,13 +47,13 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _scores(queries: pa.Table, candidates: pa.Table, bound: float) -> np.ndarray:
-    """Inner products; doubles add integers exactly below 2**53."""
+    """Inner products, held within REACH; doubles add integers exactly below 2**53."""
     q, c = _matrix(queries["v"]), _matrix(candidates["v"])
     n = min(q.shape[1], c.shape[1])
     if bound < EXACT_DOUBLE:
         return (q[:, :n].astype(np.float64) @ c[:, :n].T.astype(np.float64)).astype(np.int64)
     exact = q[:, :n].astype(object) @ c[:, :n].T.astype(object) if n else np.zeros((len(q), len(c)), dtype=object)
-    return np.clip(exact, -(2**62), 2**62).astype(np.int64)
+    return np.clip(exact, -REACH, REACH).astype(np.int64)
 
 
 def _grid(vectors: DataFrame, queries: DataFrame, n_candidates: int, n_queries: int):
@@ -60,31 +61,32 @@ def _grid(vectors: DataFrame, queries: DataFrame, n_candidates: int, n_queries:
     c_blocks = -(-n_candidates // CANDIDATE_BLOCK)
     q_blocks = -(-n_queries // QUERY_BLOCK)
     c_of, q_of = F.sequence(F.lit(0), F.lit(c_blocks - 1)), F.sequence(F.lit(0), F.lit(q_blocks - 1))
-    block = F.xxhash64(F.lit(7), "vec_id")
+    block = F.xxhash64(F.lit(7), "row")
     candidates = vectors.withColumn("cb", F.pmod(block, F.lit(c_blocks)).cast("int")).withColumn("qb", F.explode(q_of))
-    asked = queries.withColumn("qb", F.pmod(F.xxhash64(F.lit(7), "query_id"), F.lit(q_blocks)).cast("int"))
+    asked = queries.withColumn("qb", F.pmod(F.xxhash64(F.lit(7), "query"), F.lit(q_blocks)).cast("int"))
     return candidates.groupBy("cb", "qb").cogroup(asked.withColumn("cb", F.explode(c_of)).groupBy("cb", "qb"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bins: int = BINS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k highest inner products of each query.
 
-    ``vectors`` and ``queries`` have ``vec_id, v``. The candidate with the query's own id does
-    not count. All candidates are returned where there are fewer than k; no candidates, no rows.
-    Scores beyond +-2**62 are held there.
+    ``vectors`` and ``queries`` have ``row, vec_id, v``, the queries being rows of the same table.
+    The query's own row does not count; others under its id do, and each of them is a query of its
+    own. Ties go to the smaller id, then the smaller row. All candidates are returned where there
+    are fewer than k; no candidates, no rows. Scores beyond +-2**61 are held there, and tie.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
-    vectors = written(vectors.select("vec_id", "v"), "vectors")
-    asked = written(queries.select(F.col("vec_id").alias("query_id"), "v"), "asked")
+    vectors = written(vectors.select("row", "vec_id", "v"), "vectors")
+    asked = written(queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "v"), "asked")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n_candidates, largest = vectors.agg(F.count("*"), F.max(square)).first()
     n_queries, asked_largest = asked.agg(F.count("*"), F.max(square)).first()
     if not n_candidates or not n_queries:
         return spark.createDataFrame([], schema)
     bound = float(np.sqrt(largest * asked_largest))  # no score is larger than the product of the norms
-    reach = min(int(bound) + 2, 2**62)
-    state = asked.select("query_id", F.lit(-reach).cast("long").alias("lo"), F.lit(0).cast("long").alias("above"))
+    reach = min(int(bound) + 2, REACH)
+    state = asked.select("query", F.lit(-reach).cast("long").alias("lo"), F.lit(0).cast("long").alias("above"))
     width = 2 * reach + 1
 
     while width > 1:
@@ -94,33 +96,33 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bins: int = BINS)
 
         def histogram(c: pa.Table, q: pa.Table) -> pa.Table:
             if not (c.num_rows and q.num_rows):
-                return pa.table({"query_id": pa.array([], pa.int64()), "bin": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-            ids, lo = np.asarray(q["query_id"]), np.asarray(q["lo"])
+                return pa.table({"query": pa.array([], pa.int64()), "bin": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+            ids, lo = np.asarray(q["query"]), np.asarray(q["lo"])
             need = k - np.asarray(q["above"])
             scores = _scores(q, c, bound)
             past = scores - lo[:, None]
             at = past // w
-            ok = (past >= 0) & (past < inside) & (np.asarray(c["vec_id"])[None, :] != ids[:, None])
+            ok = (past >= 0) & (past < inside) & (np.asarray(c["row"])[None, :] != ids[:, None])
             counts = np.bincount((at + np.arange(len(ids))[:, None] * bins)[ok], minlength=len(ids) * bins).reshape(len(ids), bins)
             higher = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
             # The global k-th score is no lower than the block's own: lower bins need not leave it.
             rows, columns = np.nonzero((counts > 0) & (higher < need[:, None]))
-            return pa.table({"query_id": ids[rows], "bin": columns.astype(np.int64), "n": counts[rows, columns].astype(np.int64)})
+            return pa.table({"query": ids[rows], "bin": columns.astype(np.int64), "n": counts[rows, columns].astype(np.int64)})
 
-        counted = _grid(vectors, asked.join(state, "query_id"), n_candidates, n_queries).applyInArrow(
-            histogram, "query_id long, bin long, n long"
+        counted = _grid(vectors, asked.join(state, "query"), n_candidates, n_queries).applyInArrow(
+            histogram, "query long, bin long, n long"
         )
-        bins_of = counted.groupBy("query_id", "bin").agg(F.sum("n").alias("n")).join(state, "query_id")
-        down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
+        bins_of = counted.groupBy("query", "bin").agg(F.sum("n").alias("n")).join(state, "query")
+        down = Window.partitionBy("query").orderBy(F.desc("bin"))
         seen = bins_of.withColumn("upto", F.sum("n").over(down))
         # The first bin that reaches k, or the lowest where there are fewer than k candidates.
         reached = F.col("above") + F.col("upto") >= k
         best = F.max_by(F.struct("bin", "n", "upto"), F.when(reached, F.col("bin")).otherwise(-F.lit(bins) - F.col("bin") - 1))
         state = written(
-            seen.groupBy("query_id", "lo", "above")
+            seen.groupBy("query", "lo", "above")
             .agg(best.alias("b"))
             .select(
-                "query_id",
+                "query",
                 (F.col("lo") + F.col("b.bin") * width).alias("lo"),
                 (F.col("above") + F.col("b.upto") - F.col("b.n")).alias("above"),
             ),
@@ -128,18 +130,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bins: int = BINS)
         )
 
     def select(c: pa.Table, q: pa.Table) -> pa.Table:
+        names = ["query", "query_id", "row", "vec_id", "score"]
         if not (c.num_rows and q.num_rows):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
-        c = c.sort_by("vec_id")
-        ids, kth, need = np.asarray(q["query_id"]), np.asarray(q["lo"])[:, None], k - np.asarray(q["above"])[:, None]
-        scores, names = _scores(q, c, bound), np.asarray(c["vec_id"])
-        other = names[None, :] != ids[:, None]
+            return pa.table({n: pa.array([], pa.int64()) for n in names})
+        c = c.sort_by([("vec_id", "ascending"), ("row", "ascending")])
+        kth, need = np.asarray(q["lo"])[:, None], k - np.asarray(q["above"])[:, None]
+        scores, own = _scores(q, c, bound), np.asarray(c["row"])
+        other = own[None, :] != np.asarray(q["query"])[:, None]
         ties = other & (scores == kth)
         rows, columns = np.nonzero((other & (scores > kth)) | (ties & (ties.cumsum(axis=1) <= need)))
-        return pa.table({"query_id": ids[rows], "vec_id": names[columns], "score": scores[rows, columns]})
+        found = [np.asarray(q["query"])[rows], np.asarray(q["query_id"])[rows], own[columns], np.asarray(c["vec_id"])[columns]]
+        return pa.table(dict(zip(names, [*found, scores[rows, columns]])))
 
-    found = _grid(vectors, asked.join(state, "query_id"), n_candidates, n_queries).applyInArrow(
-        select, "query_id long, vec_id long, score long"
+    found = _grid(vectors, asked.join(state, "query"), n_candidates, n_queries).applyInArrow(
+        select, "query long, query_id long, row long, vec_id long, score long"
     )
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

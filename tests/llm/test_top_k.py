@@ -6,16 +6,17 @@ import pytest
 from saleslake.llm.top_k import integer_vectors, top_k
 
 
-def brute(rows, step, k):
-    usable = {}
-    for vec_id, v in rows:
-        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            scaled = [math.floor(256.0 * x) for x in v]
-            usable[vec_id] = min(usable.get(vec_id, scaled), scaled)
+def brute(rows, step, k, reach=2**61):
+    usable = [
+        (vec_id, [math.floor(256.0 * x) for x in v])
+        for vec_id, v in rows
+        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q, v in usable.items():
+    for at, (q, v) in enumerate(usable):
         if q % step == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in usable.items() if c != q)
+            held = [(max(-reach, min(reach, sum(a * b for a, b in zip(v, w)))), c) for i, (c, w) in enumerate(usable) if i != at]
+            scores = sorted((-s, c) for s, c in held)
             out += [(q, r, c, -s) for r, (s, c) in enumerate(scores[:k], 1)]
     return sorted(out)
 
@@ -49,3 +50,19 @@ def test_few_candidates_and_none(spark):
     assert answers(spark, [(0, [1.0]), (1, [2.0])], k=5) == [(0, 1, 1, 256 * 512)]
     assert answers(spark, [(0, [1.0])]) == []
     assert answers(spark, []) == []
+
+
+def test_rows_under_one_id_are_all_candidates_and_queries(spark):
+    assert answers(spark, [(0, [1.0]), (1, [2.0]), (1, [5.0]), (3, [3.0])], k=4) == [
+        (0, 1, 1, 256 * 1280), (0, 2, 3, 256 * 768), (0, 3, 1, 256 * 512),
+    ]
+    rng = random.Random(2)
+    rows = [(rng.randint(0, 9), [rng.choice([1.0, 2.0, -1.0]) for _ in range(3)]) for _ in range(50)]
+    assert answers(spark, rows, step=3, k=4) == brute(rows, 3, 4)
+    assert answers(spark, [(4, [1.0, 2.0])] * 5, k=3) == brute([(4, [1.0, 2.0])] * 5, 2, 3)
+
+
+def test_scores_out_of_range_are_held(spark):
+    rows = [(0, [1e8, 0.0]), (1, [1e8, 0.0]), (3, [1e8, 0.0]), (4, [-1e8, 1.0]), (5, [1e3, 1.0])]
+    assert answers(spark, rows, k=4, bins=1024) == brute(rows, 2, 4)
+    assert [r for r in answers(spark, rows, k=4) if r[0] == 0][:2] == [(0, 1, 1, 2**61), (0, 2, 3, 2**61)]
