@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from saleslake.llm.components import components
-from saleslake.llm.tables import quoted, slices, small_side, written
+from saleslake.llm.tables import quoted, slices, written
 from saleslake.llm.texts import mix, word_hashes
 
 ROWS = 4  # registers in a band
@@ -31,8 +31,8 @@ MANTISSA_BITS = 10
 MISSED = 1e-6
 #: Estimates may lie so many standard deviations below the wanted similarity.
 DEVIATIONS = 5.5
-#: Lists of at most so many ids are broadcast (8 bytes each, under 32 MB as a hash table).
-BROADCAST_IDS = 1_000_000
+#: Words of 64 bits in a filter of ids, at most: what is broadcast has that many short rows at any size.
+FILTER_WORDS = 1 << 20
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1 << 20
 SLICE = 2048  # shared shingles that one matrix product takes
@@ -115,16 +115,35 @@ def sketches(docs: DataFrame, width: int, bands_of: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, schema)
 
 
+def _id_filter(ids: DataFrame) -> DataFrame:
+    """``word, bits``: a bitmap of the hashes of ids (column ``doc_id``). It has at most FILTER_WORDS rows,
+    however many ids there are; more ids only set more bits."""
+    place = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(FILTER_WORDS * 64))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = ids.select(F.floor(place / 64).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return written(words, "filter")
+
+
+def _filtered(docs: DataFrame, words: DataFrame, how: str) -> DataFrame:
+    """The rows of documents whose id may be in the filter (``left_semi``: all that are, and a few
+    more), or those whose id is not (``left_anti``). Texts stay where they are."""
+    place = F.pmod(F.xxhash64(F.lit(3), docs["doc_id"].cast("long")), F.lit(FILTER_WORDS * 64))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    there = (F.floor(place / 64).cast("int") == words["word"]) & (words["bits"].bitwiseAND(bit) != 0)
+    return docs.join(F.broadcast(words), there & docs["doc_id"].isNotNull(), how)
+
+
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``doc_id, shingles`` of the documents named in ``ids``, from their texts."""
+    """``doc_id, shingles`` of the documents named in ``ids``, from their texts, and of the few more
+    that the filter of ids lets pass; joins by id leave those aside."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shingles(t.as_py(), width).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return wanted.mapInArrow(gather, "doc_id long, shingles array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _filtered(texts, _id_filter(ids), "left_semi").mapInArrow(gather, "doc_id long, shingles array<long>")
 
 
 def _registers_of(column) -> np.ndarray:
@@ -209,6 +228,16 @@ def _block_links(table: pa.Table, percent: int, least: float) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def band_members(classes: DataFrame) -> DataFrame:
+    """``band, key, id, pivot, size`` of groups of two classes or more (``id, bands``) in one band.
+
+    The sizes of the groups are written first, so that both sides of the join are plain shuffles
+    and adaptive execution can split a key that very many classes share."""
+    banded = classes.select("id", F.posexplode("bands").alias("band", "key"))
+    sizes = banded.groupBy("band", "key").agg(F.min("id").alias("pivot"), F.count("*").alias("size"), F.max("id").alias("last"))
+    return banded.join(written(sizes.filter("pivot < last").drop("last"), "sizes"), ["band", "key"])
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of documents.
 
@@ -225,11 +254,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")),
         "classes",
     )
-    # Groups of two classes or more in one band.
-    banded = classes.select("id", F.posexplode("bands").alias("band", "key"))
-    sizes = banded.groupBy("band", "key").agg(F.min("id").alias("pivot"), F.count("*").alias("size"), F.max("id").alias("last"))
-    sizes = sizes.filter("pivot < last").drop("last")
-    members = written(banded.join(sizes, ["band", "key"]), "members")
+    members = written(band_members(classes), "members")
     nodes = classes.select("id", "n", "bands")
 
     def side(name: str) -> DataFrame:
@@ -238,7 +263,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     hopeful = written(_hopeful(pairs.join(side("a"), "a").join(side("b"), "b"), least).distinct(), "pairs")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
-    full = written(_sets(docs, small_side(ids, "ids", BROADCAST_IDS), width), "sets")
+    full = written(_sets(docs, ids, width), "sets")
 
     def set_of(name: str) -> DataFrame:
         return full.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set"))
@@ -256,7 +281,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("shingles_in"), F.count("*").alias("rows_in")
     )
     blocks = F.greatest(F.ceil(F.col("rows_in") / BLOCK_ROWS), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES)).cast("int")
-    still = still.filter("low < high").select("band", "key", blocks.alias("blocks"))
+    still = written(still.filter("low < high").select("band", "key", blocks.alias("blocks")), "still")
     # Block i meets every block j >= i: each member goes to the pairs that hold its block.
     own = F.pmod(F.xxhash64(F.lit(5), "id"), F.col("blocks")).cast("int").alias("block")
     opened = labelled.filter("id <> pivot").join(still, ["band", "key"]).select("band", "key", "id", "component", "blocks", own)
@@ -320,9 +345,14 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     found = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows"))
     found = written(found.filter("NOT kept OR rows > 1"), "not_alone")
     repeated = found.filter("kept").select("doc_id")
-    rest = docs.join(small_side(found.select("doc_id"), "not_alone", BROADCAST_IDS), "doc_id", "left_anti").select(*quoted(docs.columns))
+    # Most rows are told to stay by a filter, where they are; those that may go meet the list of ids.
+    words, columns = _id_filter(found.select("doc_id")), quoted(docs.columns)
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*columns).alias("row"))
+    gone = found.select("doc_id").hint("merge")
+    stay = _filtered(packed, words, "left_anti").select("row.*")
+    rest = stay.unionByName(_filtered(packed, words, "left_semi").join(gone, "doc_id", "left_anti").select("row.*"))
     if not repeated.take(1):
         return rest
-    of_repeated = docs.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*quoted(docs.columns)).alias("row"))
-    one = of_repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
+    of_repeated = packed.join(repeated, "doc_id", "left_semi")
+    one = of_repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     return rest.unionByName(one.select("row.*"))

@@ -3,10 +3,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from saleslake.llm import near_dedup
 from saleslake.llm.components import components
 from saleslake.llm.near_dedup import estimates, keep_one_of_each, near_duplicates, registers, shingles
+from saleslake.llm.tables import written
 from tests.llm.odd import LONG, brute_components, documents, odd_documents, shingle_set
 
 
@@ -135,3 +137,41 @@ def test_components(spark, kind):
             above[max(x, y)] = min(x, y)
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in above)
+
+
+def test_a_hot_band_key_is_split(spark):
+    """A third of 100,000 classes share a key in every band."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        i = F.col("id")
+        keys = F.array(*[F.when(i % 3 == 0, F.lit(band)).otherwise((i * 7 + band) % 50_000).cast("long") for band in range(2)])
+        classes = written(spark.range(100_000).select("id", keys.alias("bands")).repartition(8), "classes")
+        members = near_dedup.band_members(classes)
+        found = members.collect()
+        assert "skew=true" in members._jdf.queryExecution().executedPlan().toString()
+        hot = [r for r in found if r.size > 1000]
+        assert len(hot) >= 2 * 33_334 and all(r.pivot == 0 or r.pivot < r.id for r in hot)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_a_filter_of_ids_is_bounded_and_exact_enough(spark, monkeypatch):
+    """With few words nearly every id passes, and results stay as they are."""
+    docs = documents(spark, [(i, f"the text number {i // 3} has the same words in three documents each and no others") for i in range(60)])
+    docs = docs.unionByName(documents(spark, [(None, "the text number 1 has the same words"), (7, "another text under an id that is there")]))
+    want = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in near_dedup.keep_one_of_each(docs).collect())
+    words = near_dedup._id_filter(spark.range(500_000).withColumnRenamed("id", "doc_id"))
+    assert words.count() <= near_dedup.FILTER_WORDS
+    monkeypatch.setattr(near_dedup, "FILTER_WORDS", 1)
+    assert near_dedup._id_filter(docs.select("doc_id")).count() == 1
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in near_dedup.keep_one_of_each(docs).collect()) == want
+    assert len(want) == 21
