@@ -89,7 +89,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``text, lang``; null languages and texts without letters teach nothing.
 
     Document frequencies count all rows, in one partial sum per task. Per language about
-    ``sample`` rows, dealt by hash, go to one task for its centroids. What reaches the driver is
+    ``sample`` different texts, drawn by their hash, go to one task for its centroids. What reaches the driver is
     the frequencies (4,096 numbers) and the centroids.
     """
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
@@ -108,13 +108,16 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
     texts = of_gram.get(-1, 0)
     idf = np.log((1 + texts) / (1 + np.array([of_gram.get(g, 0) for g in range(1 << BITS)]))).astype(np.float32) + np.float32(1)
 
-    rate = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*")).alias("rate"))
-    draw = F.xxhash64(F.lit(3), "text", F.monotonically_increasing_id())
-    drawn = rows.withColumn("draw", draw).join(small_side(rate, "rates"), "lang")
-    drawn = drawn.filter(F.pmod("draw", F.lit(1 << 30)) < F.col("rate") * (1 << 30)).drop("rate")
+    # Drawn by the hash of the text alone, so the same rows in other files give the same model. Copies
+    # are one text, and the number of different texts (a sketch, the same for any order) sets the rate.
+    draw = F.xxhash64(F.lit(3), "text")
+    drawn = rows.withColumn("draw", draw)
+    rate = drawn.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(2.0 * sample) / F.approx_count_distinct("draw")).alias("rate"))
+    drawn = drawn.join(small_side(rate, "rates"), "lang")
+    drawn = drawn.filter(F.pmod("draw", F.lit(1 << 30)) < F.col("rate") * (1 << 30)).drop("rate").dropDuplicates(["lang", "draw", "text"])
 
     def cluster(table: pa.Table) -> pa.Table:
-        table = table.sort_by("draw")
+        table = table.sort_by([("draw", "ascending"), ("text", "ascending")])
         found = np.array([counts(t.as_py()) for t in table["text"].slice(0, sample)])
         vectors = _weighted(found[found.any(axis=1)], idf)
         c, limits = _clusters(vectors) if len(vectors) else (np.zeros((0, 1 << BITS), np.float32), np.zeros(0))
@@ -136,7 +139,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` of every row; a text without letters, or null, is
-    ``und`` with score 0. Other columns play no part, whatever their names."""
+    ``und`` with score 0. Of centroids equally near the first by language, then number, is taken.
+    Rows that repeat are rows of their own. Other columns play no part, whatever their names."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -180,9 +180,13 @@ SHARDS_SQL = """
 """
 
 
-@query("op7_sharding", SHARDS_SQL.format(limit=64 << 20))
+#: Bytes of a shard in the query: small ones, so that the directory splits on small tables, too.
+SHARD_BYTES = 128 << 10
+
+
+@query("op7_sharding", SHARDS_SQL.format(limit=SHARD_BYTES))
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_shards(table(spark, sf_dir, "documents"))
+    return document_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 @query("op8_token_counts")

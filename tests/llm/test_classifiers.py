@@ -1,8 +1,11 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from saleslake.llm.language_id import language_predictions
+from saleslake.llm import language_id
+from saleslake.llm.language_id import language_predictions, remainder
 from saleslake.llm.quality_classifier import drop_rejected, fit, fit_model, indicators, quality_scores
 from tests.llm.odd import documents, odd_documents
 
@@ -27,6 +30,71 @@ def test_languages_of_texts_held_out(spark, docs):
     assert out.filter("NOT score BETWEEN 0 AND 1").count() == 0 and out.count() == docs.count()
 
 
+def grams(text):
+    """Counts of 1-, 2- and 3-grams of the letters, one space between words, plainly."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    squeezed = "".join(c for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " ")
+    found = {}
+    if squeezed.strip():
+        for n in (1, 2, 3):
+            for i in range(len(squeezed) - n + 1):
+                found[squeezed[i : i + n]] = found.get(squeezed[i : i + n], 0) + 1
+    return found
+
+
+def hash_of(gram):
+    return int(language_id.hashed(language_id.code_points(gram), len(gram), language_id.BITS)[0])
+
+
+def test_predictions_against_plain_python(spark, docs):
+    """Document frequencies, weights and the nearest centroid, recomputed text by text."""
+    rows = docs.collect()
+    taught = [r for r in docs.filter(remainder(4) != 2).collect() if r.lang is not None and r.text is not None]
+    model = language_id.fit(docs.filter(remainder(4) != 2))
+    buckets = {}
+
+    def of(text):
+        found = {}
+        for gram, n in grams(text).items():
+            place = buckets.setdefault(gram, hash_of(gram))
+            found[place] = found.get(place, 0) + n
+        return found
+
+    texts, seen = 0, {}
+    for r in taught:
+        found = of(r.text)
+        texts += bool(found)
+        for place in found:
+            seen[place] = seen.get(place, 0) + 1
+    idf = [math.log((1 + texts) / (1 + seen.get(g, 0))) + 1 for g in range(1 << language_id.BITS)]
+    assert np.abs(np.array(idf) - model.idf).max() < 1e-5
+    # Centroids are unit sums of the weighted texts nearest to them; every language has several.
+    assert {n: model.languages.count(n) for n in set(model.languages)} == dict.fromkeys({r.lang for r in taught}, language_id.CENTROIDS)
+    assert np.abs(np.linalg.norm(model.centroids, axis=1) - 1).max() < 1e-5
+    got = {r.doc_id: r for r in language_predictions(docs).collect()}
+    for r in rows[::7]:
+        weights = {place: math.log1p(n) * idf[place] for place, n in of(r.text or "").items()}
+        if not weights:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = [sum(w * float(c[place]) for place, w in weights.items()) / norm for c in model.centroids]
+        best = max(cosines)
+        assert abs(got[r.doc_id].score - min(max(best, 0), 1)) < 1e-4
+        assert got[r.doc_id].lang_pred in {n for n, c in zip(model.languages, cosines) if c > best - 1e-5}
+
+
+def test_the_model_does_not_depend_on_files_or_copies(spark, docs):
+    """Other files, another order and repeated rows of a hot text leave the drawn texts as they are."""
+    a = language_id.fit(docs.repartition(1).orderBy("doc_id"), sample=40)
+    b = language_id.fit(docs.repartition(9, "source"), sample=40)
+    assert a.languages == b.languages and np.array_equal(a.idf, b.idf)
+    assert np.array_equal(a.centroids, b.centroids) and np.array_equal(a.limits, b.limits)
+    hot = docs.orderBy("doc_id").limit(1).crossJoin(spark.range(500).select(F.col("id").alias("copy"))).drop("copy")
+    c = language_id.fit(docs.unionByName(hot), sample=10**6)
+    assert len(c.languages) == len(a.languages)
+
+
 def test_a_strange_text_is_rejected(spark, docs):
     strange = documents(spark, [(10**6, "щжцы бвгд жзйк лмнп рстф хцчш щъыь эюяа " * 20), (10**6 + 1, "123 456 !!"), (10**6 + 2, None)])
     out = {r.doc_id: r for r in language_predictions(docs.unionByName(strange.withColumn("lang", F.lit(None).cast("string")))).filter("doc_id >= 1000000").collect()}
