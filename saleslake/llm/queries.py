@@ -96,25 +96,57 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
       UNION ALL SELECT 1, lang, NULL, metric, bucket FROM rounded
       UNION ALL SELECT 0, NULL, NULL, metric, bucket FROM rounded
     ), ranked AS (
-      SELECT *, count(*) OVER g AS total, count(*) OVER (g ORDER BY bucket) AS upto
+      SELECT *, bucket + (1 << greatest(length(bin(bucket)) - 5, 0)) - 1 AS top,
+             count(*) OVER g AS n, count(*) OVER (g ORDER BY bucket) AS upto
       FROM levels WINDOW g AS (PARTITION BY lvl, lang, source, metric)
-    ), quartiles AS (
-      SELECT lvl, lang, source, metric, min(bucket) FILTER (4 * upto >= total) AS q1, min(bucket) FILTER (4 * upto >= 3 * total) AS q3
-      FROM ranked WHERE lvl = 0 OR total >= 100 GROUP BY ALL
+    ), quantiles AS (
+      SELECT lvl, lang, source, metric, n, min(bucket) FILTER (10 * upto >= n) AS low,
+             min(bucket) FILTER (2 * upto - n >= -2 * sqrt(n)) AS least, min(top) FILTER (2 * upto - n >= 2 * sqrt(n)) AS most,
+             min(bucket) FILTER (2 * upto >= n) AS mid, min(top) FILTER (2 * upto >= n) AS mid_top,
+             min(top) FILTER (10 * upto >= 9 * n) AS high
+      FROM ranked GROUP BY ALL
+    ), marks AS (
+      SELECT lvl, lang, source, n, metric AS bound, 1 AS sign, mid AS level, least AS proven, high - mid AS spread FROM quantiles
+      UNION ALL
+      SELECT lvl, lang, source, n, 'short', -1, mid_top, most, mid_top - low FROM quantiles WHERE metric = 'length'
+    ), weighed AS (
+      SELECT lang, bound, spread, sum(n) OVER (PARTITION BY lang, bound ORDER BY spread) AS in_lang,
+             sum(n) OVER (PARTITION BY bound ORDER BY spread) AS in_all,
+             sum(n) OVER (PARTITION BY lang, bound) AS lang_n, sum(n) OVER (PARTITION BY bound) AS all_n
+      FROM marks WHERE lvl = 2
+    ), usual AS (
+      SELECT lang, bound, min(spread) FILTER (2 * in_lang >= lang_n) AS spread FROM weighed GROUP BY ALL
+    ), usual_all AS (
+      SELECT bound, min(spread) FILTER (2 * in_all >= all_n) AS spread FROM weighed GROUP BY ALL
+    ), of_all AS (
+      SELECT bound, sign, level, u.spread FROM marks JOIN usual_all u USING (bound) WHERE lvl = 0
+    ), of_lang AS (
+      SELECT m.lang, bound, m.sign, CASE WHEN n > 4 THEN m.level ELSE a.level END AS level,
+             (n * u.spread + 50 * a.spread) // (n + 50) AS spread
+      FROM marks m JOIN usual u USING (lang, bound) JOIN of_all a USING (bound) WHERE lvl = 1
+    ), of_source AS (
+      SELECT m.lang, m.source, bound, m.sign,
+             CASE WHEN n <= 4 THEN l.level WHEN m.sign = 1 THEN greatest(l.level, proven) ELSE least(l.level, proven) END AS level,
+             (n * least(m.spread, l.spread) + 50 * l.spread) // (n + 50) AS spread
+      FROM marks m JOIN of_lang l USING (lang, bound) WHERE lvl = 2
     ), bounds AS (
-      SELECT lvl, lang, source,
-             max(q3 + 3 * (q3 - q1) + 50) FILTER (metric = 'symbols') AS symbols_b,
-             max(q3 + 3 * (q3 - q1) + 50) FILTER (metric = 'dup_lines') AS dup_lines_b,
-             max(q3 + 3 * (q3 - q1) + 250) FILTER (metric = 'repeats') AS repeats_b,
-             max(q3 + 3 * (q3 - q1) + 100) FILTER (metric = 'length') AS length_b,
-             max(q1 - 3 * (q3 - q1) - 100) FILTER (metric = 'length') AS short_b
-      FROM quartiles GROUP BY ALL
+      SELECT lvl, lang, source, max(b) FILTER (bound = 'symbols') AS symbols_b, max(b) FILTER (bound = 'dup_lines') AS dup_lines_b,
+             max(b) FILTER (bound = 'repeats') AS repeats_b, max(b) FILTER (bound = 'length') AS length_b,
+             max(b) FILTER (bound = 'short') AS short_b
+      FROM (
+        SELECT 0 AS lvl, NULL AS lang, NULL AS source, bound, level + sign * 5 * spread AS b FROM of_all
+        UNION ALL SELECT 1, lang, NULL, bound, level + sign * 5 * spread FROM of_lang
+        UNION ALL SELECT 2, lang, source, bound, level + sign * 5 * spread FROM of_source
+      ) GROUP BY ALL
     ), best AS (
       SELECT r, arg_max(b, b.lvl) AS b FROM judged j JOIN bounds b
       ON b.lvl = 0 OR (b.lvl = 1 AND b.lang = j.lang) OR (b.lvl = 2 AND b.lang = j.lang AND b.source = j.source) GROUP BY r
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND coalesce(symbols <= b.symbols_b AND dup_lines <= b.dup_lines_b AND repeats <= b.repeats_b
+           NOT base_failed AND coalesce(
+             1000 * greatest(n_symbols - 3, 0) // greatest(n_words, 1) <= b.symbols_b
+             AND 1000 * greatest(n_dup_lines - 3, 0) // greatest(n_words, 1) <= b.dup_lines_b
+             AND 1000 * greatest(n_repeat_words - 18, 0) // greatest(n_words, 1) <= b.repeats_b
              AND length <= b.length_b AND length >= b.short_b, TRUE) AS kept
     FROM judged LEFT JOIN best USING (r)
     """,
