@@ -86,8 +86,8 @@ class Lake:
         self.spark = spark
         self.base = check_folder(spark, "lake")
         self.feed_path = f"{self.base}/feed"
-        # The feed arrives with its dirty header.
-        write_feed(raw_feed(spark, sf_dir).withColumnRenamed("PROMO", "PROMO,,"), self.feed_path)
+        # The feed arrives with its dirty header, compressed.
+        write_feed(raw_feed(spark, sf_dir).withColumnRenamed("PROMO", "PROMO,,"), self.feed_path, packed=True)
         self.report = run(spark, self.feed_path, self.base)
 
     @classmethod

@@ -14,9 +14,13 @@ ATTRIBUTES = ["PLN_LABEL", "BU", "PRODUCT_CATEGORY_LABEL", "OPSTUDY_LABEL"]
 
 
 def drop_copies(rows: DataFrame) -> DataFrame:
-    """One of each set of equal rows. Copies already merge before the shuffle, which
-    runs over all columns and so has no hot key."""
-    return rows.distinct()
+    """One of each set of equal rows. Nearly all rows differ, so tasks before the shuffle would only
+    fill tables with them, as large as their split, and spill: rows are dealt out by all their
+    columns first, which spreads a product or date with very many rows, and compared where they meet.
+    The width is the session's; adaptive execution would put as many rows together as compress to
+    its size, though in memory they are several times that."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, *[F.col(f"`{c}`") for c in rows.columns]).distinct()
 
 
 def nullify_aliases(rows: DataFrame) -> DataFrame:

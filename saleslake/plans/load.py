@@ -36,9 +36,9 @@ def _report(spark: SparkSession, tags: dict[str, int], silver_rows: int) -> Repo
 
 
 def _write_silver(spark: SparkSession, feed_path: str, version: Version) -> Report:
-    """The text is parsed once: tagged rows go to a work folder under the base path, one directory
-    per tag, and all later steps read only the directories and columns they need. Golden records
-    are a work table too (see ``silver.heal``). Rows are counted as they are written, by tag and
+    """The text is parsed once: tagged rows go to a work folder under the base path, as they come
+    (a directory per tag would have every task sort its rows by tag), and all later steps read only
+    the columns they need. Golden records are a work table too (see ``silver.heal``). Rows are counted as they are written, by tag and
     in silver: no table is read for the statistics."""
     by_tag, kept = Observation("by tag"), Observation("silver")
     with work_folder(spark, version.base) as work:
@@ -46,7 +46,6 @@ def _write_silver(spark: SparkSession, feed_path: str, version: Version) -> Repo
         tagged = written(
             cleaned.observe(by_tag, *[F.count_if(F.col("ERROR_REASON") == tag).alias(tag) for tag in TAGS]),
             f"{work}/tagged",
-            partition_by="ERROR_REASON",
         )
         golden = written(silver.golden_records(cleaning.valid_rows(tagged)), f"{work}/golden")
         rows = silver.to_silver(tagged, golden).observe(kept, F.count(F.lit(1)).alias("rows"))

@@ -34,8 +34,13 @@ def surplus_cells(line: Column, columns: int) -> Column:
     return F.coalesce(F.size(F.split(line, f"[{FEED_SEPARATOR}]")) > columns, F.lit(False))
 
 
-def write_feed(df: DataFrame, path: str) -> None:
-    """Write rows as a feed: nothing quoted, nothing trimmed, null as an empty cell."""
+#: Rows of a compressed feed file, which is read by one task.
+PACKED_ROWS = 1_000_000
+
+
+def write_feed(df: DataFrame, path: str, packed: bool = False) -> None:
+    """Write rows as a feed: nothing quoted, nothing trimmed, null as an empty cell. ``packed``
+    compresses the files, which have at most ``PACKED_ROWS`` rows then."""
     (
         df.write.mode("overwrite")
         .option("sep", FEED_SEPARATOR)
@@ -45,6 +50,7 @@ def write_feed(df: DataFrame, path: str) -> None:
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .options(**{"compression": "gzip", "maxRecordsPerFile": PACKED_ROWS} if packed else {})
         .csv(path)
     )
 
