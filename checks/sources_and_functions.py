@@ -85,9 +85,13 @@ STUDIES = ", ".join(f"('{code}', '{name}')" for code, name in STUDY_ROWS)
     LEFT JOIN tagged t ON t.OPSTUDY_LABEL = l.code GROUP BY ALL""",
 )
 def src_literal(ctx):
-    """A table of literals, the study names, meets every tagged row."""
+    """A table of literals, the study names, meets every tagged row. Rows are counted by label before
+    they are dealt out, so that a label with very many is a few rows; a name that meets none stands
+    for one row, as in any left join."""
     names = literals.table(ctx.spark, "code STRING, name STRING", [*STUDY_ROWS, ("NO CODE", None)])
-    return names.join(ctx.tagged, col("OPSTUDY_LABEL") == col("code"), "left").groupBy("code", "name").agg(rows())
+    labels = ctx.tagged.groupBy("OPSTUDY_LABEL").agg(rows())
+    met = names.join(labels, col("OPSTUDY_LABEL") == col("code"), "left")
+    return met.groupBy("code", "name").agg(F.sum(F.coalesce("row_count", F.lit(1))).alias("row_count"))
 
 
 @check(

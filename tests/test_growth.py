@@ -1,8 +1,10 @@
 """What must not grow faster than the input: rows held, sorted or moved on the way."""
 
 import pathlib
+import re
 
 from checks.lake import raw_feed
+from checks.registry import QUERIES
 from saleslake.operators import silver
 from saleslake.plans import load
 from saleslake.sources import feed as feeds
@@ -54,3 +56,9 @@ def test_a_packed_feed_has_the_same_rows_in_files_of_bounded_length(spark, folde
     assert len(list(pathlib.Path(folder, "packed").glob("*.csv.gz"))) == 5
     plain, packed = (sorted(map(str, read_feed(spark, f"{folder}/{name}").collect())) for name in ("plain", "packed"))
     assert plain == packed and len(packed) == 200
+
+
+def test_labels_are_counted_before_they_meet_the_literals(spark):
+    """No task gets all rows of one of the few labels."""
+    text = plan(QUERIES["src_literal"](spark, SF_DIR))
+    assert re.search(r"partial_count", text[re.search(r"Join ", text).start() :])
