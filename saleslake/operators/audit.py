@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from saleslake.functions import dates, flags
 from saleslake.functions.fixed_values import OTHER
-from saleslake.operators.cleaning import clean
+from saleslake.operators.cleaning import clean, valid_rows
 from saleslake.operators.growth import sales, share_of_all, top_n
-from saleslake.operators.silver import to_silver
+from saleslake.operators.silver import drop_copies, golden_records, healed_rows
 from saleslake.sources.layers import Gold
 from saleslake.sources.scratch import written
 
@@ -425,7 +425,15 @@ def profile(gold: Gold, work: str, sketched: bool = False) -> DataFrame:
 
 def showcase(raw: DataFrame) -> DataFrame:
     """Each distinct valid raw row next to what the load makes of it: ``raw_*`` texts
-    and silver columns. The raw texts ride along in a struct, which no step touches."""
-    before = F.struct(*[F.col(f"`{c}`").cast("string").alias(f"raw_{c.strip(',').lower()}") for c in raw.columns])
-    after = to_silver(clean(raw.withColumn("before", before)))
+    and silver columns. Copies go first, on the raw columns alone (and the texts of those that are
+    none), as the cleaned ones follow from them; then the raw texts ride along in a struct, which
+    no step touches."""
+    names = {c: f"raw_{c.strip(',').lower()}" for c in raw.columns}
+    kinds = dict(raw.dtypes)
+    texts = [F.col(f"`{c}`").cast("string").alias(n) for c, n in names.items() if kinds[c] != "string"]
+    shown = raw.withColumn("before", F.struct(F.lit(None).cast("string").alias("none"), *texts))
+    distinct = drop_copies(shown)
+    before = [(F.col(f"`{c}`") if kinds[c] == "string" else F.col(f"before.{n}")).alias(n) for c, n in names.items()]
+    tagged = clean(distinct.withColumn("before", F.struct(*before)))
+    after = healed_rows(valid_rows(tagged), golden_records(valid_rows(clean(shown))))
     return after.select("before.*", *[c for c in after.columns if c != "before"])

@@ -68,10 +68,14 @@ def narrow(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ACTUAL", F.col("ACTUAL").cast("float")).drop("WEEK")
 
 
+def healed_rows(rows: DataFrame, golden: DataFrame) -> DataFrame:
+    """Valid rows without copies, each with the golden attributes of its product, as silver has them."""
+    return narrow(fill_gaps(readable(heal(nullify_aliases(rows), golden))))
+
+
 def to_silver(tagged: DataFrame, golden: DataFrame | None = None) -> DataFrame:
     """Tagged rows to silver rows. Without a ``golden`` table the records are part of
     the same plan."""
     valid = valid_rows(tagged)
     golden = golden_records(valid) if golden is None else golden
-    rows = nullify_aliases(drop_copies(valid))
-    return narrow(fill_gaps(readable(heal(rows, golden))))
+    return healed_rows(drop_copies(valid), golden)

@@ -5,11 +5,11 @@ import re
 
 from checks.lake import raw_feed
 from checks.registry import QUERIES
-from saleslake.operators import silver
+from saleslake.operators import audit, silver
 from saleslake.plans import load
 from saleslake.sources import feed as feeds
 from saleslake.sources.feed import read_feed, write_feed
-from tests.rows import DIRTY, RAW, TAGGED, frame, tagged_row
+from tests.rows import DIRTY, RAW, TAGGED, as_set, frame, tagged_row
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -62,3 +62,13 @@ def test_labels_are_counted_before_they_meet_the_literals(spark):
     """No task gets all rows of one of the few labels."""
     text = plan(QUERIES["src_literal"](spark, SF_DIR))
     assert re.search(r"partial_count", text[re.search(r"Join ", text).start() :])
+
+
+def test_the_showcase_moves_each_text_once_to_find_copies(spark):
+    rows = frame(spark, RAW.replace("ACTUAL string", "ACTUAL double"), *[(*DIRTY[:6], 10.5, *DIRTY[7:])] * 3, (*DIRTY[:6], -1.0, *DIRTY[7:]))
+    shown = audit.showcase(rows)
+    dealt = next(line for line in plan(shown).splitlines() if "REPARTITION_BY_NUM" in line)
+    assert "PLN_LABEL" in dealt and "DATE" not in dealt
+    texts = as_set(shown.select("raw_week", "raw_pln", "raw_pln_label", "raw_actual", "raw_promo", "ACTUAL", "PROMO", "PLN_LABEL"))
+    assert texts == {(*DIRTY[:3], a, DIRTY[8], float(a), "Y", "MESSY ITEM NAME") for a in ("10.5", "-1.0")}
+    assert shown.count() == 2
