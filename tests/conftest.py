@@ -14,6 +14,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # Some tests read the plans that have run; by default the oldest of 1,000 go.
+        .config("spark.sql.ui.retainedExecutions", "100000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="saleslake-tests-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="saleslake-tests-"))
         .getOrCreate()
